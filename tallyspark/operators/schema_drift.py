@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import NULL_TOKENS
+from ..session import materialise
 
 KINDS = ("text", "boolean", "decimal", "integer")
 _CELL = "array<struct<name:string,kind:string,value:string>>"
@@ -139,15 +140,15 @@ def find_renames(cells: DataFrame, steps: DataFrame, statistics: DataFrame, leas
     keys = ["feed", "stream_id", "file_no"]
     gone = steps.where("before and not here and old_type is not null").select(*keys, F.col("name").alias("old_name"), F.col("old_type").alias("type"))
     new = steps.where("here and not before and new_type is not null").select(*keys, F.col("name").alias("new_name"), F.col("new_type").alias("type"))
-    pairs = gone.join(new, [*keys, "type"])
+    pairs = materialise(gone.join(new, [*keys, "type"]))
     names = statistics.select("feed", "file_id", "name").distinct()
     kinds = pairs.select("feed", "old_name", "new_name").distinct()
     together = (
         kinds.join(names.withColumnRenamed("name", "old_name"), ["feed", "old_name"]).join(names.withColumnRenamed("name", "new_name"), ["feed", "new_name", "file_id"])
         .select("feed", "old_name", "new_name").distinct()
     )
-    kinds = kinds.join(together, ["feed", "old_name", "new_name"], "left_anti")
-    content = _content(cells)
+    kinds = materialise(kinds.join(together, ["feed", "old_name", "new_name"], "left_anti"))
+    content = materialise(_content(cells))
     norm = content.groupBy("feed", "name").agg(F.sqrt(F.sum(F.col("n").cast("double") ** 2)).alias("norm"))
     weighed = content.join(norm, ["feed", "name"]).select("feed", "name", "item", (F.col("n") / F.col("norm")).alias("w"))
     alike = (
@@ -168,10 +169,10 @@ def schema_changes(cells: DataFrame) -> DataFrame:
     has no type there and is not retyped. Files delivered twice count once; a
     payload that is no JSON object has no fields.
     """
-    cells = cells.where("file_id is not null and stream_id is not null").persist()
-    statistics, files = field_statistics(cells).persist(), file_steps(cells).persist()
-    steps = field_steps(statistics, files).persist()
-    renames = find_renames(cells, steps, statistics).persist()
+    cells = materialise(cells.where("file_id is not null and stream_id is not null"))
+    statistics, files = materialise(field_statistics(cells)), materialise(file_steps(cells))
+    steps = materialise(field_steps(statistics, files))
+    renames = materialise(find_renames(cells, steps, statistics))
     keys = ["feed", "stream_id", "file_no"]
     gone = steps.where("before and not here").join(renames.select(*keys, F.col("old_name").alias("name")), [*keys, "name"], "left_anti").select(*keys, F.lit("removed").alias("change_kind"), F.col("name").alias("old_name"), F.lit("").alias("new_name"))
     new = steps.where("here and not before").join(renames.select(*keys, F.col("new_name").alias("name")), [*keys, "name"], "left_anti").select(*keys, F.lit("added").alias("change_kind"), F.lit("").alias("old_name"), F.col("name").alias("new_name"))
@@ -235,11 +236,11 @@ class DriftedFeeds:
     """The files of all streams read into one consistent table per feed."""
 
     def __init__(self, feed_rows: DataFrame):
-        self.cells = load_cells(feed_rows).where("file_id is not null and stream_id is not null").persist()
-        statistics, files = field_statistics(self.cells).persist(), file_steps(self.cells).persist()
-        renames = find_renames(self.cells, field_steps(statistics, files).persist(), statistics)
+        self.cells = materialise(load_cells(feed_rows).where("file_id is not null and stream_id is not null"))
+        statistics, files = materialise(field_statistics(self.cells)), materialise(file_steps(self.cells))
+        renames = materialise(find_renames(self.cells, materialise(field_steps(statistics, files)), statistics))
         self.names = canonical_names(renames, statistics)
-        self.named = _named_cells(self.cells, self.names)
+        self.named = materialise(_named_cells(self.cells, self.names))
         self.types = column_types(self.named)
 
     def _cast(self, kind: str) -> Column:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def make_session(master: str = "local[*]", partitions: int = 8, **conf: str) -> SparkSession:
@@ -37,3 +39,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallyspark-"))
     return context._jsc.sc().getCheckpointDir().get()
+
+
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """``df`` as a table written once to the shared folder: lineage and plan end there, and lost executors cost nothing.
+
+    The tables of a session are removed when its driver ends.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if not _WRITTEN:
+        atexit.register(_remove_written)
+    _WRITTEN.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove_written() -> None:
+    for spark, path in _WRITTEN:
+        try:
+            jvm = spark.sparkContext._jvm
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:
+            return  # the session has ended before the driver: the shared folder is cleaned with it
