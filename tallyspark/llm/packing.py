@@ -114,7 +114,7 @@ def _merge_round(left: DataFrame, partitions: int, most_open: int, number: int)
     return grouped.groupBy("container", "g").applyInArrow(run, "container string, capacity long, window string, into string, fill long, kept boolean")
 
 
-def pack(sizes: DataFrame, capacities: DataFrame, most_open: int = 64, partitions: int | None = None) -> DataFrame:
+def pack(sizes: DataFrame, capacities: DataFrame, most_open: int = 256, partitions: int | None = None) -> DataFrame:
     """(container, capacity, doc_id, piece_no, n_tokens, bin_id) of every piece of every document for every container kind.
 
     sizes: (doc_id, n_tokens), null or negative sizes count as 0; an item of

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from . import encoding, packing, spellings, stuffing, survivors
+from . import encoding, matching, packing, spellings, stuffing, survivors
 from .sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -36,6 +36,18 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spellings.pairs_of_classes(p6_classes(spark, sf_dir))
 
 
+def _matches(spark: SparkSession, sf_dir: str) -> matching.SourceMatches:
+    return matching.SourceMatches(*(table(spark, sf_dir, t) for t in ("player_game_stats", "rosters", "players")))
+
+
+def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _matches(spark, sf_dir).best()
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p7_matches(spark, sf_dir).select("player_id", "source_player_id")
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode_texts(table(spark, sf_dir, "documents"))
 
@@ -62,6 +74,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_records": p5_records,
     "p6_found": p6_found,
     "p6_classes": p6_classes,
+    "p7_found": p7_found,
+    "p7_matches": p7_matches,
     "p8_ids": p8_ids,
     "p9_containers": p9_containers,
     "p9_waste": p9_waste,
