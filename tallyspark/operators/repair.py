@@ -11,6 +11,7 @@ import json
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -260,8 +261,6 @@ RECOVERED = "category string, success boolean, recovery_rule string, parse_error
 
 def recover_texts(df: DataFrame, text: str, endpoint: str) -> DataFrame:
     """``df`` with the repair of each text; null texts are UNSUPPORTED."""
-    import pandas as pd
-
     @F.pandas_udf(RECOVERED)
     def run(texts: pd.Series, endpoints: pd.Series) -> pd.DataFrame:
         rows = [recover(t or "", e) for t, e in zip(texts, endpoints)]
