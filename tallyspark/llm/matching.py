@@ -24,7 +24,7 @@ from ..functions.text import id_key, name_key, valued
 from ..session import materialise
 from .names import name_likeness, tokens
 
-HASHES = 6
+HASHES = 4
 FEATURES = ("like_mean", "like_max", "whole", "by_initial", "nameless", "number_same", "number_other", "lead", "number_lead")
 SCOPE = ("league", "season", "team")
 
@@ -42,69 +42,77 @@ def token_minhashes(token: str) -> tuple[str, ...]:
     return tuple(f"m{h}:{min(xxhash.xxh32_intdigest(p, seed=h) for p in pairs)}" for h in range(HASHES))
 
 
-def block_names(name: str | None, number: int | None) -> list[str]:
-    """The blocks of one spelling: MinHashes of its tokens, and the number with the initials (alone where there is no name)."""
+def block_keys(league: str, season: int, team: str, name: str | None, number: int | None) -> dict[int, int]:
+    """Hashed blocks of one spelling with their weights: MinHashes of its tokens, and the number with the initials.
+
+    Two spellings are compared if the blocks they share weigh 2 or more: two
+    MinHashes, or one and the number, or the number alone where either has no name.
+    """
     words = tokens(name) if name else ()
-    out = {b for w in words if len(w) > 1 for b in token_minhashes(w)}
+    out = {b: 1 for w in words if len(w) > 1 for b in token_minhashes(w)}
     if number is not None:
-        letters = {w[0] for w in words}
-        out |= {f"n{number}:{c}" for c in letters} | {f"n{number}:"}
-    return sorted(out)
+        out |= {f"n{number}:{w[0]}": 1 for w in words}
+        out[f"n{number}:"] = 1 if words else 2
+    place = f"{league}|{season}|{team}|"
+    return {xxhash.xxh3_64_intdigest(place + b) - (1 << 63): w for b, w in out.items()}
 
 
-def _with_blocks(df: DataFrame, keep: str) -> DataFrame:
-    """One row per block of each spelling; ``keep`` are the columns with their types, name and number among them."""
-    names = [c.split()[0] for c in keep.split(", ")]
+def _with_blocks(df: DataFrame, keep: list[str]) -> DataFrame:
+    """(*keep, block, weight): one row per block of each spelling."""
+    kinds = {"league": "string", "season": "long", "team": "string", "source": "string", "player": "string"}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blocks = [block_names(n, k) for n, k in zip(batch.column("name").to_pylist(), batch.column("number").to_pylist())]
-            rows = np.repeat(np.arange(batch.num_rows), [len(b) for b in blocks])
-            taken = batch.take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array([b for of in blocks for b in of], pa.string())], [*batch.schema.names, "block"])
+            blocks = [block_keys(*r) for r in zip(*(batch.column(c).to_pylist() for c in (*SCOPE, "name", "number")))]
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), [len(b) for b in blocks]))
+            taken = batch.select(keep).take(rows)
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array([k for b in blocks for k in b], pa.int64()), pa.array([w for b in blocks for w in b.values()], pa.int32())], [*keep, "block", "weight"])
 
-    return df.select(*names).mapInArrow(run, f"{keep}, block string")
+    columns = list(dict.fromkeys([*SCOPE, "name", "number", *keep]))
+    return df.select(*columns).mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", block long, weight int")
 
 
 def roster_people(rosters: DataFrame, players: DataFrame) -> DataFrame:
     """(league, season, team, player, number, name): the people of each roster, once each, under each name their id is known by."""
-    people = players.select(id_key("player_id").alias("player"), valued("player_name").alias("name")).where("player is not null and player <> 'PTEAM'").groupBy("player", "name").agg(F.lit(1).alias("one")).drop("one").where("name is not null")
-    rows = (
-        rosters.select("league", "season", id_key("team_id").alias("team"), id_key("player_id").alias("player"), number_of("roster_number").alias("number"))
-        .where("league is not null and season is not null and team is not null and player is not null and player <> 'PTEAM'")
-        .distinct()
-    )
-    # a row without number adds nothing to one with it
+    people = players.select(id_key("player_id").alias("player"), valued("player_name").alias("name")).where("player is not null and player <> 'PTEAM' and name is not null").groupBy("player", "name").agg(F.lit(1).alias("one")).drop("one")
+    rows = rosters.select("league", "season", id_key("team_id").alias("team"), id_key("player_id").alias("player"), number_of("roster_number").alias("number")).where("league is not null and season is not null and team is not null and player is not null and player <> 'PTEAM'")
+    # a row without number adds nothing to one with it; numbers have three digits at most, so the sets are bounded
     numbered = rows.groupBy(*SCOPE, "player").agg(F.collect_set("number").alias("numbers")).select(*SCOPE, "player", F.explode_outer("numbers").alias("number"))
     return numbered.join(people, "player", "left").select(*SCOPE, "player", "number", "name")
 
 
-def source_lines(stats: DataFrame, rosters: DataFrame) -> DataFrame:
-    """(source, player, league, season, team, name, number, n): the different spellings of each source id, with how many lines type them."""
+def source_ids(stats: DataFrame) -> DataFrame:
+    """(source, player, other, n): the smallest and largest player id of each source id's lines, null where no line has one."""
+    lines = stats.select(id_key("source_player_id").alias("source"), id_key("player_id").alias("player")).where("source is not null")
+    return lines.groupBy("source").agg(F.min("player").alias("player"), F.max("player").alias("other"), F.count("*").alias("n"))
+
+
+def source_spellings(stats: DataFrame, rosters: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(source, league, season, team, name, number, n): the different spellings of the wanted source ids, with how many lines type them."""
     teams = (
         rosters.select("league", "season", id_key("team_id").alias("team_by_name"), name_key(valued("team_name")).alias("team_name"))
         .where("team_by_name is not null and team_name is not null").groupBy("league", "season", "team_name")
         .agg(F.min("team_by_name").alias("team_by_name"), F.max("team_by_name").alias("other")).where("team_by_name = other").drop("other")
     )
     lines = stats.select(
-        id_key("source_player_id").alias("source"), id_key("player_id").alias("player"), "league", "season", id_key("team_id").alias("team"),
-        F.coalesce(name_key(valued("team_name")), F.lit("")).alias("team_name"), valued("player_name").alias("name"), number_of("roster_number").alias("number"),
-    ).where("source is not null")
-    counted = lines.groupBy(*lines.columns).agg(F.count("*").alias("n"))
-    named = counted.join(teams, ["league", "season", "team_name"], "left").withColumn("team", F.coalesce("team", "team_by_name"))
-    return named.groupBy("source", "player", *SCOPE, "name", "number").agg(F.sum("n").alias("n"))
+        id_key("source_player_id").alias("source"), "league", "season", id_key("team_id").alias("team"),
+        F.when(id_key("team_id").isNull(), name_key(valued("team_name"))).alias("team_name"), valued("player_name").alias("name"), number_of("roster_number").alias("number"),
+    ).where("source is not null and league is not null and season is not null")
+    own = lines.join(wanted.select("source"), "source").groupBy(*lines.columns).agg(F.count("*").alias("n"))
+    named = own.join(teams, ["league", "season", "team_name"], "left").withColumn("team", F.coalesce("team", "team_by_name")).where("team is not null")
+    return named.groupBy("source", *SCOPE, "name", "number").agg(F.sum("n").alias("n"))
 
 
 def _pair_evidence(spellings: DataFrame, people: DataFrame) -> DataFrame:
-    """Features of (source, scope, player) candidates that share a block, from all spellings of the source.
+    """Features of (source, scope, player) candidates that meet in blocks, from all spellings of the source.
 
     The spellings that meet a candidate in no block count against it as well,
     so shares are of all the source's lines in the scope.
     """
-    left = _with_blocks(spellings, "source string, league string, season long, team string, name string, number int")
-    right = _with_blocks(people, "player string, league string, season long, team string, name string, number int").select(*SCOPE, "block", "player")
-    pairs = left.select("source", *SCOPE, "block").distinct().join(right.distinct(), [*SCOPE, "block"]).select("source", *SCOPE, "player").distinct()
-    met = pairs.join(spellings, ["source", *SCOPE]).join(people.withColumnsRenamed({"name": "roster_name", "number": "roster_number"}), [*SCOPE, "player"])
+    left = _with_blocks(spellings, ["source", *SCOPE]).groupBy("source", *SCOPE, "block").agg(F.max("weight").alias("weight"))
+    right = _with_blocks(people, ["player"]).withColumnRenamed("weight", "other_weight")
+    pairs = left.join(right, "block").groupBy("source", *SCOPE, "player").agg(F.sum(F.greatest("weight", "other_weight")).alias("shared")).where("shared > 1").drop("shared")
+    met = pairs.join(people.withColumnsRenamed({"name": "roster_name", "number": "roster_number"}), [*SCOPE, "player"]).join(spellings, ["source", *SCOPE])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,20 +212,16 @@ class SourceMatches:
     """The matches of source ids with rosters; ``labelled`` bounds the source ids the model is fitted to."""
 
     def __init__(self, stats: DataFrame, rosters: DataFrame, players: DataFrame, labelled: int = 6_000):
-        lines = materialise(source_lines(stats, rosters))
-        self.people = materialise(roster_people(rosters, players))
-        known = lines.groupBy("source").agg(F.max("player").alias("player"), F.count_distinct("player").alias("ids"), F.sum("n").alias("n"))
-        open_ids = known.where("player is null").select("source")
-        scoped = "league is not null and season is not null and team is not null"
-        self.spellings = lines.join(open_ids, "source").where(scoped).groupBy("source", *SCOPE, "name", "number").agg(F.sum("n").alias("n"))
+        ids = materialise(source_ids(stats).where("player is null or player = other and player <> 'PTEAM' and n <= 1000"))
         # the labelled sample: a bounded number of ids by the smallest hash; ids of whole teams and hot ids tell nothing of persons
-        sample = known.where("ids = 1 and player <> 'PTEAM' and n <= 1000").orderBy(F.xxhash64("source"), "source").limit(labelled).select("source", F.col("player").alias("truth"))
-        self.labels = materialise(sample)
-        self.known_spellings = lines.join(self.labels.select("source"), "source").where(scoped).groupBy("source", *SCOPE, "name", "number").agg(F.sum("n").alias("n"))
+        sample = ids.where("player is not null").orderBy(F.xxhash64("source"), "source").limit(labelled).select("source", F.col("player").alias("truth"))
+        wanted = materialise(ids.where("player is null").select("source", F.lit(None).cast("string").alias("truth")).unionByName(sample))
+        people = roster_people(rosters, players)
+        evidence = _pair_evidence(materialise(source_spellings(stats, rosters, wanted)), materialise(people))
+        self.evidence = materialise(with_rivals(materialise(evidence)).join(wanted, "source"))
 
     def model(self) -> MatchModel:
-        evidence = with_rivals(materialise(_pair_evidence(self.known_spellings, self.people)))
-        rows = evidence.join(self.labels, "source").select("source", (F.col("player") == F.col("truth")).cast("double").alias("y"), *FEATURES).toArrow()
+        rows = self.evidence.where("truth is not null").select("source", (F.col("player") == F.col("truth")).cast("double").alias("y"), *FEATURES).toArrow()
         if not rows.num_rows:
             return DEFAULT_MODEL
         x = np.column_stack([rows[f].to_numpy() for f in FEATURES]).astype(float)
@@ -226,8 +230,7 @@ class SourceMatches:
 
     def scored(self) -> DataFrame:
         """(source_player_id, league, season, team_id, player_id, confidence, features) of every candidate pair."""
-        evidence = with_rivals(materialise(_pair_evidence(self.spellings, self.people)))
-        return evidence.withColumn("confidence", self.model().probability())
+        return self.evidence.where("truth is null").drop("truth").withColumn("confidence", self.model().probability())
 
     def best(self, least: float = 0.5) -> DataFrame:
         """(source_player_id, player_id, confidence): of each source id without a player the most probable one, if at least ``least``.
