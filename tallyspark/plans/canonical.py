@@ -42,6 +42,11 @@ def team_place(df: DataFrame) -> DataFrame:
     )
 
 
+def _with(df: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """``df`` with the named columns, null texts where it lacked them."""
+    return df.withColumns({c: F.lit(None).cast("string") for c in names if c not in df.columns})
+
+
 class Canonical:
     """The canonical tables of a set of documents (league, season, endpoint, resource_id, file, text)."""
 
@@ -92,10 +97,7 @@ class Canonical:
 
     def player_game_stats(self) -> DataFrame:
         """Lines of players in games; player_id by the roster's unique name, then by the source id of lines so resolved."""
-        lines = self._statistics(self.rows("player_game_stats"), GAME_TEXT)
-        for c in GAME_TEXT:
-            if c not in lines.columns:
-                lines = lines.withColumn(c, F.lit(None).cast("string"))
+        lines = _with(self._statistics(self.rows("player_game_stats"), GAME_TEXT), GAME_TEXT)
         lines = lines.withColumn("date", game_date(F.col("date"), F.col("season"))).drop("endpoint", "file", "pos").distinct()
         keyed = lines.withColumn("name_key", name_key("player_name"))
         named = attach_id(keyed, self._name_lookup(), ["league", "season", "team_id", "name_key"], "player_id").drop("name_key")
@@ -104,19 +106,14 @@ class Canonical:
     def team_season_stats(self) -> DataFrame:
         stats = self._statistics(self.rows("team_season_stats"), (*SEASON_TEXT, "team_logo", "team_number")).drop("endpoint", "file", "pos")
         lookup = self.teams().select("league", "season", "team_city", "team_name", "team_id").groupBy("league", "season", "team_city", "team_name").agg(F.min("team_id").alias("team_id"))
-        for c in ("team_city", "team_id"):
-            if c not in stats.columns:
-                stats = stats.withColumn(c, F.lit(None).cast("string"))
-        return attach_id(stats, lookup, ["league", "season", "team_city", "team_name"], "team_id")
+        return attach_id(_with(stats, ("team_city", "team_name", "team_id")), lookup, ["league", "season", "team_city", "team_name"], "team_id")
 
     def player_season_stats(self) -> DataFrame:
         """One row per player and season: of each field the last value given, offence first, special teams last."""
         raw = self.rows("player_season_stats")
         rank = F.array_position(F.array(*[F.lit(c) for c in CATEGORY_ORDER]), F.col("endpoint"))
         key = ["league", "season", "team_city", "team_name", "player_name"]
-        for c in ("team_city", "team_id", "player_id"):
-            if c not in raw.columns:
-                raw = raw.withColumn(c, F.lit(None).cast("string"))
+        raw = _with(raw, ("team_city", "team_name", "player_name", "team_id", "player_id"))
         fields = [c for c in raw.columns if c not in (*key, "endpoint", "file", "pos")]
         merged = self._statistics(last_non_null(raw.withColumn("rank", rank), key, fields, ["rank", "file", "pos"]), SEASON_TEXT)
         alias = self.teams().select("league", "season", strip_blanks("team_city").alias("city_key"), strip_blanks("team_name").alias("team_key"), "team_id").groupBy("league", "season", "city_key", "team_key").agg(F.min("team_id").alias("team_id"))
