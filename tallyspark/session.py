@@ -41,6 +41,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over all cores where its scan is too narrow to keep them busy: one file of one row group is one task. Rows are dealt by the hash of ``key``, so a task run again gets the same rows."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if 2 * df.rdd.getNumPartitions() > cores else df.repartition(cores, key)
+
+
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
