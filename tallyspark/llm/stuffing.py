@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 STATES = ("prose", "links", "tags", "menu")
 TRAITS = ("url", "bare", "sentence", "code", "hashtags", "list", "vocabulary", "some_vocabulary", "repeats", "price", "bars", "labelled", "short")
 
@@ -282,7 +284,8 @@ def score_pages(documents: DataFrame, model: LineModel) -> DataFrame:
                 ["doc_id", "n_chars", "link_chars", "tag_chars", "menu_chars", "share"],
             )
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_chars long, link_chars long, tag_chars long, menu_chars long, share double")
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return spread(texts, "doc_id").mapInArrow(run, "doc_id long, n_chars long, link_chars long, tag_chars long, menu_chars long, share double")
 
 
 def stuffed_pages(documents: DataFrame, labels: DataFrame, least: float = 0.5, **bounds: int) -> DataFrame:
