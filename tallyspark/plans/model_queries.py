@@ -22,7 +22,7 @@ def _model(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def _staged(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: Models({name: table(spark, sf_dir, name)}).staging(name)
+    return lambda spark, sf_dir: Models({name: table(spark, sf_dir, name).drop("loaded_at", "deleted_at")}).staging(name)
 
 
 def _league(league: str, name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -40,7 +40,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = (
 
 def _dimension(name: str) -> str:
     order = ", ".join(f"{c} nulls first" for c in ["loaded_at", *_COLUMNS[name].split()])
-    return f"d_{name} as (select * from {name} qualify row_number() over (partition by {', '.join(KEPT_BY[name])} order by {order}) = 1)"
+    gone = "loaded_at, deleted_at" if "deleted_at" in _COLUMNS[name] else "loaded_at"
+    return f"d_{name} as (select * exclude ({gone}) from {name} qualify row_number() over (partition by {', '.join(KEPT_BY[name])} order by {order}) = 1)"
 
 
 _WITH = "with " + ",\n".join(_dimension(n) for n in KEPT_BY)
@@ -50,11 +51,11 @@ INT_PLAYER_GAMES = f"""select pg.league, pg.season, pg.game_id, g.season_type, g
   case when lower(trim(pg.team_name)) = lower(trim(g.home_team_name)) then 'home' when lower(trim(pg.team_name)) = lower(trim(g.visitor_team_name)) then 'away' end as game_location,
   case when lower(trim(pg.team_name)) = lower(trim(g.home_team_name)) then g.visitor_team_name when lower(trim(pg.team_name)) = lower(trim(g.visitor_team_name)) then g.home_team_name end as opponent_team_name,
   g.home_team_name, g.visitor_team_name, pg.source_player_id, pg.player_id, coalesce(p.player_name, pg.player_name) as player_name, p.player_id is not null as has_canonical_player,
-  pg.week as week_1, pg.* exclude (league, season, game_id, date, week, team_id, team_name, source_player_id, player_id, player_name)
+  pg.week as week_1, pg.* exclude (loaded_at, league, season, game_id, date, week, team_id, team_name, source_player_id, player_id, player_name)
 from player_game_stats pg left join d_games g on pg.league = g.league and pg.season = g.season and pg.game_id = g.game_id {_PLAYER_TEAM.format(a='pg')}"""
 
 INT_PLAYER_SEASONS = f"""select ps.league, ps.season, ps.team_id, coalesce(t.team_name, ps.team_name) as team_name, ps.player_id, coalesce(p.player_name, ps.player_name) as player_name,
-  p.player_id is not null as has_canonical_player, ps.* exclude (league, season, team_id, team_name, player_id, player_name)
+  p.player_id is not null as has_canonical_player, ps.* exclude (loaded_at, league, season, team_id, team_name, player_id, player_name)
 from player_season_stats ps {_PLAYER_TEAM.format(a='ps')}"""
 
 INT_ROSTERS = f"""select r.league, r.season, r.team_id, coalesce(t.team_name, r.team_name) as team_name, r.player_id, p.player_name as canonical_player_name,
@@ -67,7 +68,7 @@ INT_TEAM_GAMES = " union all by name ".join(
 )
 
 INT_TEAM_SEASONS = """select ts.league, ts.season, ts.team_id, coalesce(t.team_name, ts.team_name) as team_name, s.wins, s.losses, s.ties, s.win_pct,
-  ts.* exclude (league, season, team_id, team_name), s.team_logo as team_logo_1, s.loaded_at as loaded_at_1,
+  ts.* exclude (loaded_at, league, season, team_id, team_name), s.team_logo as team_logo_1,
   s.* exclude (league, season, team_name, wins, losses, ties, win_pct, team_logo, loaded_at)
 from team_season_stats ts left join d_teams t on ts.league = t.league and ts.season = t.season and ts.team_id = t.team_id
 left join standings s on ts.league = s.league and ts.season = s.season and lower(trim(ts.team_name)) = lower(trim(s.team_name))"""
@@ -111,10 +112,11 @@ _MARTS = {
     "mart_player_career_stats": CAREER,
     "mart_team_season_summary": SUMMARY,
 }
+_LOADED = {name: ["loaded_at", "deleted_at"] if name in ("teams", "players", "games") else ["loaded_at"] for name in STAGED}
 _DUCK = {"bigint": "bigint", "string": "varchar", "date": "date", "double": "double"}
 
 SQL: dict[str, str] = (
-    {f"stg_{name}": f"select {', '.join(f'cast({c} as {_DUCK[t]}) as {c}' for c, t in head.items())}, * exclude ({', '.join(head)}) from {name}" for name, head in STAGED.items()}
+    {f"stg_{name}": f"select {', '.join(f'cast({c} as {_DUCK[t]}) as {c}' for c, t in head.items())}, * exclude ({', '.join([*head, *_LOADED[name]])}) from {name}" for name, head in STAGED.items()}
     | {name: f"{_WITH} {sql}" for name, sql in zip(INTERMEDIATE, (INT_PLAYER_GAMES, INT_PLAYER_SEASONS, INT_ROSTERS, INT_TEAM_GAMES, INT_TEAM_SEASONS))}
     | {name: f"{_WITH} {sql}" for name, sql in _MARTS.items()}
     | {name.replace("mart_", f"mart_{league}_", 1): f"{_WITH} select * from ({sql}) where league = '{league}'" for league in LEAGUES for name, sql in _MARTS.items()}

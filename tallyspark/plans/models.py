@@ -85,7 +85,9 @@ class Models:
         tables = {}
         for name in STAGED:
             df = table(spark, sf_dir, name)
-            tables[name] = keep_first(df, KEPT_BY[name], ["loaded_at"]) if name in KEPT_BY else df
+            kept = keep_first(df, KEPT_BY[name], ["loaded_at"]) if name in KEPT_BY else df
+            # when a row reached us orders the rows; it is no part of the canonical tables
+            tables[name] = kept.drop("loaded_at", "deleted_at")
         return cls(tables)
 
     def staging(self, name: str) -> DataFrame:

@@ -178,9 +178,9 @@ def ratio_of_counts(spark, d):
     return table(spark, d, "player_season_stats").groupBy("league").agg(F.round(100.0 * F.count_if(F.col("player_id").isNull()) / F.count("*"), 4).alias("missing_pct"))
 
 
-@_query("select * from player_season_stats qualify row_number() over (partition by league, season, team_id, player_id order by row_id) = 1")
+@_query("select * exclude (loaded_at) from player_season_stats qualify row_number() over (partition by league, season, team_id, player_id order by row_id) = 1")
 def keep_first_dedupe(spark, d):
-    return relational.keep_first(table(spark, d, "player_season_stats"), ["league", "season", "team_id", "player_id"], ["row_id"])
+    return relational.keep_first(table(spark, d, "player_season_stats"), ["league", "season", "team_id", "player_id"], ["row_id"]).drop("loaded_at")
 
 
 @_query("select distinct event_type, user_id from events")
@@ -386,6 +386,7 @@ def row_fingerprint(spark, d):
     return p.select("p_partkey", relational.fingerprint(p, ["p_partkey", "p_name", "p_brand"]).alias("fingerprint"))
 
 
-@_query("select * from orders")
+@_query("select * exclude (o_orderdate), cast(o_orderdate as date) as order_day from orders")
 def parquet_roundtrip(spark, d):
-    return materialise(table(spark, d, "orders"))
+    back = materialise(table(spark, d, "orders"))
+    return back.withColumn("order_day", F.to_date("o_orderdate")).drop("o_orderdate")
