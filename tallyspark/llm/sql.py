@@ -24,4 +24,13 @@ select group_row_id, field_name, row_id as source_row_id from c
 qualify row_number() over (partition by group_row_id, field_name order by trust, loaded_at desc nulls last, row_id) = 1
 """
 
-SQL: dict[str, str] = {"p5_found": P5_SQL}
+P5_RECORDS_SQL = f"""
+with found as ({P5_SQL}),
+v as (select found.group_row_id, found.field_name, case found.field_name {" ".join(f"when '{f}' then {_value(f) if f in _TEXT else f'cast({f} as varchar)'}" for f in _FIELDS)} end as value
+  from found join player_game_stats s on s.row_id = found.source_row_id)
+select any_value(league) as league, any_value(season) as season, any_value(upper({_value("game_id")})) as game_id, any_value(upper({_value("team_id")})) as team_id, any_value(upper({_value("player_id")})) as player_id, v.group_row_id,
+  {", ".join(f"max(value) filter (field_name = '{f}') as {f}" for f in _FIELDS)}
+from v join player_game_stats g on g.row_id = v.group_row_id group by v.group_row_id
+"""
+
+SQL: dict[str, str] = {"p5_found": P5_SQL, "p5_records": P5_RECORDS_SQL}
