@@ -160,7 +160,44 @@ select l.table_name, coalesce(l.load_id, '') as load_id, l.column_name from load
 where nulls * 5 >= n or (f > 0 and outside * 10 >= f) or different < 3 or coalesce(departs, false)
 """
 
+def _p2_valid_sql() -> str:
+    """The fields of valid lines, taken apart by one pattern of twelve groups, unquoted and typed."""
+    field = broken_lines._FIELD
+    split = "^" + ",".join([f"({field})"] * 12) + "$"
+    names = ", ".join(f"'{c}'" for c in broken_lines.FIELDS)
+    raw = f"select line_id, regexp_extract(line_text, '{split}', [{names}]) as f from ({_p2_sql('line_id, line_text', '{valid}')})"
+    texts = {c: f"nullif(case when f.{c} like '\"%' then replace(substr(f.{c}, 2, length(f.{c}) - 2), '\"\"', '\"') else f.{c} end, '')" for c in broken_lines.FIELDS}
+    typed = [f"lower({t}) = 'true' as {c}" if c == "success" else f"cast({t} as bigint) as {c}" if c in ("season", "source_size_bytes", "output_size_bytes") else f"{t} as {c}" for c, t in texts.items()]
+    return f"select line_id, {', '.join(typed)} from ({raw})"
+
+
+# The columns of the profiled tables by how their numbers are read.
+_PROFILED = {
+    "games": {"number": "season week visitor_score home_score", "date": "date", "timestamp": "loaded_at deleted_at", "text": "league game_id season_type visitor_team_name home_team_name"},
+    "standings": {"number": "season wins losses ties win_pct points_for points_against", "timestamp": "loaded_at", "text": "league tier conference division region team_name team_logo home_record away_record conference_record division_record nonconference_record nondivision_record streak"},
+}
+_READ = {
+    "number": ("cast({c} as varchar)", "cast({c} as double)"),
+    "date": ("cast({c} as varchar)", "cast(epoch_us(cast({c} as timestamp)) as double)"),
+    "timestamp": ("cast({c} at time zone 'UTC' as varchar)", "cast(epoch_us({c}) as double)"),
+    "text": ("{c}", "cast(null as double)"),
+}
+_CELLS = " union all ".join(
+    f"select '{t}' as table_name, load_id, '{c}' as column_name, {_READ[kind][0].format(c=c)} as value, {_READ[kind][1].format(c=c)} as number from {t}"
+    for t, kinds in _PROFILED.items() for kind, columns in kinds.items() for c in columns.split()
+)
+P4_PROFILE_SQL = rf"""
+with v as ({_CELLS}),
+f as (select table_name, column_name, substr(regexp_replace(regexp_replace(regexp_replace(value, '\p{{L}}+', 'a', 'g'), '[0-9]+', '9', 'g'), '\s+', ' ', 'g'), 1, 40) as form, count(*) as n from v where value is not null group by all),
+m as (select table_name, column_name, arg_max(form, (n, form)) as main_form, count(*) as n_forms, max(n) as n_main_form from f group by all)
+select v.table_name, v.column_name, count(*) as n_rows, count(*) - count(value) as n_null, count(distinct value) as n_distinct, min(number) as min_number, max(number) as max_number,
+  any_value(main_form) as main_form, any_value(n_forms) as n_forms, cast(any_value(n_main_form) as bigint) as n_main_form, round((count(*) - count(value)) / count(*), 6) as null_share
+from v left join m on v.table_name = m.table_name and v.column_name = m.column_name group by v.table_name, v.column_name
+"""
+
 SQL: dict[str, str] = {
+    "p2_valid": _p2_valid_sql(),
+    "p4_profile": P4_PROFILE_SQL,
     "p1_found": P1_SQL,
     "p1_report": f"select table_name, season, cast(count(*) as bigint) as n_orphans from ({P1_SQL}) group by all",
     "p2_found": _p2_sql("line_id", "not {valid}"),

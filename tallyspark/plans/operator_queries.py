@@ -366,7 +366,7 @@ def audit_player_games(spark, d):
     return audit.audit_players(unresolved, table(spark, d, "rosters"), table(spark, d, "players"), resolved).select("row_id", "diagnosis", "evidence_class", "disposition")
 
 
-@_query()
+@_query(f"select disposition, diagnosis, count(*) as count from ({_AUDIT}) group by all")
 def audit_summary(spark, d):
     return audit.summary(audit_player_games(spark, d), ["disposition", "diagnosis"])
 
