@@ -109,18 +109,17 @@ def orphan_references(refs: DataFrame, parents: DataFrame, ranges: int | None =
     gives no rows.
     """
     spark = refs.sparkSession
-    ranges = ranges or 2 * shuffle_partitions(spark)
+    ranges = min(ranges or 2 * shuffle_partitions(spark), 100_000)
     in_range = F.pmod(F.shiftright(F.xxhash64("key"), 20), F.lit(ranges)).cast("int")
     refs = refs.withColumn("g", in_range)
-    # one number per range comes to the driver: how many batches the range's references need
-    sizes = {r["g"]: r["n"] for r in refs.groupBy("g").agg(F.count("*").alias("n")).collect()}
-    batches = [max(1, -(-sizes.get(g, 0) // batch_rows)) for g in range(ranges)]
-    per_range = F.element_at(F.array(*[F.lit(b) for b in batches]), F.col("g") + 1)
-    refs = refs.withColumn("s", F.pmod(F.xxhash64("row_id"), per_range).cast("int"))
+    # one number per range comes to the driver, and goes back by broadcast: how many batches the range's references need
+    sizes = refs.groupBy("g").agg(F.count("*").alias("n")).collect()
+    batches = F.broadcast(spark.createDataFrame([(r["g"], max(1, -(-r["n"] // batch_rows))) for r in sizes], "g int, batches int"))
+    refs = refs.join(batches, "g").withColumn("s", F.pmod(F.xxhash64("row_id"), "batches").cast("int"))
     known = (
         parents.groupBy("key", "start").agg(F.max("end").alias("end"))
-        .withColumn("g", in_range)
-        .withColumn("s", F.explode(F.sequence(F.lit(0), per_range - 1)))
+        .withColumn("g", in_range).join(batches, "g")
+        .withColumn("s", F.explode(F.sequence(F.lit(0), F.col("batches") - 1)))
     )
     return refs.groupBy("g", "s").cogroup(known.groupBy("g", "s")).applyInArrow(_misses, _OUT)
 
