@@ -114,12 +114,14 @@ def orphan_references(refs: DataFrame, parents: DataFrame, ranges: int | None =
     refs = refs.withColumn("g", in_range)
     # one number per range comes to the driver, and goes back by broadcast: how many batches the range's references need
     sizes = refs.groupBy("g").agg(F.count("*").alias("n")).collect()
-    batches = F.broadcast(spark.createDataFrame([(r["g"], max(1, -(-r["n"] // batch_rows))) for r in sizes], "g int, batches int"))
-    refs = refs.join(batches, "g").withColumn("s", F.pmod(F.xxhash64("row_id"), "batches").cast("int"))
+    batches = [(r["g"], max(1, -(-r["n"] // batch_rows))) for r in sizes]
+    # two frames, one for each side: the cogroup below could not tell the columns of one apart
+    of_refs, of_parents = (F.broadcast(spark.createDataFrame(batches, "g int, batches int")) for _ in range(2))
+    refs = refs.join(of_refs, "g").withColumn("s", F.pmod(F.xxhash64("row_id"), "batches").cast("int")).drop("batches")
     known = (
         parents.groupBy("key", "start").agg(F.max("end").alias("end"))
-        .withColumn("g", in_range).join(batches, "g")
-        .withColumn("s", F.explode(F.sequence(F.lit(0), F.col("batches") - 1)))
+        .withColumn("g", in_range).join(of_parents, "g")
+        .withColumn("s", F.explode(F.sequence(F.lit(0), F.col("batches") - 1))).drop("batches")
     )
     return refs.groupBy("g", "s").cogroup(known.groupBy("g", "s")).applyInArrow(_misses, _OUT)
 
