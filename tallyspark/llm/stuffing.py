@@ -16,6 +16,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -178,23 +179,27 @@ class LineModel:
     def fitted(self, pages: list[tuple[list[int], bool]], rounds: int = 8) -> LineModel:
         """Expectation maximisation; the lines of pages that are no spam stay prose."""
         model = self
-        prior, prior_moves, prior_start = self.emissions, np.exp(self.log_moves), np.exp(self.log_start)
+        traits = np.arange(len(TRAITS))
+        bits = {id(codes): (np.array(codes)[:, None] >> traits & 1).astype(float) for codes, spam in pages if codes and spam}
+        on, mass = self.emissions * _PRIOR_LINES, np.full(4, _PRIOR_LINES)
+        moves, start = np.exp(self.log_moves) * _PRIOR_LINES, np.exp(self.log_start) * 20.0
+        # the lines held to be prose count alike in every round
+        ham = [codes for codes, spam in pages if codes and not spam]
+        for code, n in Counter(chain.from_iterable(ham)).items():
+            on[:, 0] += n * (code >> traits & 1)
+        mass[0] += sum(map(len, ham))
+        moves[0, 0] += sum(map(len, ham)) - len(ham)
+        start[0] += len(ham)
         for _ in range(rounds):
-            on, mass = prior * _PRIOR_LINES, np.full(4, _PRIOR_LINES)
-            moves, start = prior_moves * _PRIOR_LINES, prior_start * 20.0
+            new_on, new_mass, new_moves, new_start = on.copy(), mass.copy(), moves.copy(), start.copy()
             for codes, spam in pages:
-                if not codes:
-                    continue
-                gamma, pair = model._expected(codes) if spam else (np.tile([1.0, 0, 0, 0], (len(codes), 1)), None)
-                bits = (np.array(codes)[:, None] >> np.arange(len(TRAITS)) & 1).astype(float)
-                on = on + bits.T @ gamma
-                mass = mass + gamma.sum(axis=0)
-                start = start + gamma[0]
-                if pair is not None:
-                    moves = moves + pair
-                else:
-                    moves[0, 0] += len(codes) - 1
-            model = LineModel(np.clip(on / mass, 1e-4, 1 - 1e-4), start / start.sum(), moves / moves.sum(axis=1, keepdims=True), self.vocabulary)
+                if codes and spam:
+                    gamma, pair = model._expected(codes)
+                    new_on += bits[id(codes)].T @ gamma
+                    new_mass += gamma.sum(axis=0)
+                    new_start += gamma[0]
+                    new_moves += pair
+            model = LineModel(np.clip(new_on / new_mass, 1e-4, 1 - 1e-4), new_start / new_start.sum(), new_moves / new_moves.sum(axis=1, keepdims=True), self.vocabulary)
         return model
 
     def _expected(self, codes: list[int]) -> tuple[np.ndarray, np.ndarray]:
