@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.people import first_initial, normalised_name, surname
 from ..functions.text import blank_to_null
-from .relational import distinct_joined
+from .relational import distinct_joined, union_diagonal
 
 
 def _context(df: DataFrame, name: str = "player_name") -> DataFrame:
@@ -150,3 +150,34 @@ def numbered(df: DataFrame, order: list[str]) -> DataFrame:
 
 def summary(audit: DataFrame, by: list[str]) -> DataFrame:
     return audit.groupBy(*by).agg(F.count("*").alias("count")).orderBy(F.desc("count"), *by)
+
+
+def disposition_queue(audits: dict[str, DataFrame]) -> DataFrame:
+    """All audited rows under the union of their columns, with the dataset they are of and what becomes of them."""
+    return union_diagonal([df.withColumn("dataset", F.lit(name)) for name, df in audits.items()])
+
+
+def candidate_rows(audited: DataFrame, rosters: DataFrame, players: DataFrame, evidence: tuple[str, ...] | None = None) -> DataFrame:
+    """The candidates of audited rows as rows: ``audited`` with candidate_season, candidate_team, candidate_player and candidate_name.
+
+    Each row meets the roster members its own evidence class speaks of, and only
+    rows of ``evidence`` classes are taken (without it those with one candidate,
+    so that the result has one row each; names that many bear are asked for by
+    naming the class).
+    """
+    wanted = evidence or tuple(one for _, one, _ in EVIDENCE if "SOURCE" not in one)
+    own = audited.columns
+    index = roster_index(rosters, players).select(*[F.col(c).alias(f"x{c}") for c in ("_league", "_season", "_team", "_exact", "_norm", "_surname", "_initial")], F.col("player").alias("candidate_player"), F.col("player_name").alias("candidate_name"))
+    rows = _context(audited.where(F.col("evidence_class").isin(*wanted)))
+    found = []
+    for count, one, many in EVIDENCE[1:]:
+        key = ["_surname", "_initial"] if count == "n_surname" else ["_exact" if count.endswith("exact") else "_norm"]
+        same = "_season" if "other" not in count else "_league"
+        other = "_season" if "other" in count else "_team"
+        on = [F.col(k) == F.col(f"x{k}") for k in dict.fromkeys(["_league", same, *key])]
+        met = rows.where(F.col("evidence_class").isin(one, many)).join(index, on).where(~F.col(other).eqNullSafe(F.col(f"x{other}")))
+        found.append(met.select(*own, F.col("x_season").alias("candidate_season"), F.col("x_team").alias("candidate_team"), "candidate_player", "candidate_name"))
+    out = found[0]
+    for df in found[1:]:
+        out = out.unionByName(df)
+    return out.distinct()

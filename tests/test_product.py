@@ -77,6 +77,13 @@ def test_audit_outcomes(spark):
     resolved = spark.createDataFrame([(99, "l", 1, "a", "n", "s1", "p1")], kinds)
     got = {r["row_id"]: (r["diagnosis"], r["evidence_class"], r["disposition"]) for r in audit.audit_players(rows, rosters, players, resolved).collect()}
     assert got == {c[0]: c[5:] for c in cases}
+    audited = audit.audit_players(rows, rosters, players)
+    found = {(r["row_id"], r["candidate_player"], r["candidate_season"]) for r in audit.candidate_rows(audited, rosters, players).collect()}
+    assert found == {(7, "p4", "1"), (8, "p5", "2"), (9, "p6", "2"), (10, "p4", "1")}
+    several = audit.candidate_rows(audited, rosters, players, ("SAME_SEASON_EXACT_NAME_MULTIPLE_TEAMS",))
+    assert {(r["row_id"], r["candidate_team"]) for r in several.collect()} == {(12, "b"), (12, "c")}
+    queue = audit.disposition_queue({"players": audited, "teams": rows.limit(1).withColumn("disposition", F.lit("TEAM_SOURCE_UNRESOLVED"))})
+    assert queue.groupBy("dataset").count().count() == 2
     summed = audit.summary(audit.audit_players(rows, rosters, players), ["disposition"])
     assert summed.agg({"count": "sum"}).first()[0] == len(cases)
 
