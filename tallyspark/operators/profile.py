@@ -70,8 +70,8 @@ def column_profile(counts: DataFrame) -> DataFrame:
 def population_stability(counts: DataFrame, floor: float = 1e-4) -> DataFrame:
     """Population stability index and chi-square of each load against all other loads of the table.
 
-    The index runs over the values the load holds (null is one), a share below
-    ``floor`` counting as ``floor``; chi-square runs over all values.
+    Both run over all values of the table (null is one), those the load lacks
+    too; in the index a share below ``floor`` counts as ``floor``.
     A load that is the only one of its table has null figures.
     """
     keys = ["table_name", "column_name"]
@@ -81,9 +81,16 @@ def population_stability(counts: DataFrame, floor: float = 1e-4) -> DataFrame:
     loads = per_load.groupBy(*keys, "load").agg(F.sum("n").alias("n_load"))
     totals = per_load.groupBy(*keys, "v").agg(F.sum("n").alias("n_all"))
     tables = totals.groupBy(*keys).agg(F.sum("n_all").alias("n_table"))
-    # values a load lacks add a term in their total alone, so only held ones are joined
-    held = per_load.join(totals, [*keys, "v"]).join(loads, [*keys, "load"]).join(tables, keys)
     rest = F.col("n_table") - F.col("n_load")
+    # a value a load lacks adds a term in its total alone: the terms of all values, by how many have a total, less those of the held ones
+    q_lacked = F.greatest(F.col("n_all") / rest, F.lit(floor))
+    lacked = (F.lit(floor) - q_lacked) * F.log(F.lit(floor) / q_lacked)
+    alike = totals.groupBy(*keys, "n_all").agg(F.count("*").alias("n_values"))
+    whole = (
+        loads.join(tables, keys).where(rest > 0).join(alike, keys)
+        .groupBy(*keys, "load").agg(F.sum(F.col("n_values") * lacked).alias("psi_if_lacked"))
+    )
+    held = per_load.join(totals, [*keys, "v"]).join(loads, [*keys, "load"]).join(tables, keys)
     p = F.greatest(F.col("n") / F.col("n_load"), F.lit(floor))
     q = F.greatest((F.col("n_all") - F.col("n")) / rest, F.lit(floor))
     expected = F.col("n_all") * F.col("n_load") / F.col("n_table")
@@ -91,7 +98,9 @@ def population_stability(counts: DataFrame, floor: float = 1e-4) -> DataFrame:
     chi = (F.col("n") - expected) ** 2 / expected + (F.col("n_all") - F.col("n") - expected_rest) ** 2 / expected_rest
     return (
         held.where(rest > 0).groupBy(*keys, "load")
-        .agg(F.sum((p - q) * F.log(p / q)).alias("psi"), F.sum(chi).alias("chi_square"), F.first("n_load").alias("n_load"), F.sum("n_all").alias("n_held"), F.first("n_table").alias("n_table"))
+        .agg(F.sum((p - q) * F.log(p / q) - lacked).alias("psi"), F.sum(chi).alias("chi_square"), F.first("n_load").alias("n_load"), F.sum("n_all").alias("n_held"), F.first("n_table").alias("n_table"))
+        .join(whole, [*keys, "load"])
+        .withColumn("psi", F.col("psi") + F.col("psi_if_lacked"))
         # a value absent from the load adds n_all * n_load / n_table * (1 + n_load / (n_table - n_load)) to chi-square
         .withColumn("chi_square", F.col("chi_square") + (F.col("n_table") - F.col("n_held")) * F.col("n_load") / (F.col("n_table") - F.col("n_load")))
         .select(*keys, F.when(F.col("load") != "", F.expr("substring(load, 2)")).alias("load_id"), "n_load", "psi", "chi_square")

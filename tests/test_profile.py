@@ -1,5 +1,9 @@
 """Column profile: counts, forms, change, failed loads at their limits."""
 
+from collections import Counter
+from math import log
+
+import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.operators import profile as P
@@ -47,3 +51,17 @@ def test_profile_and_change(spark):
     assert (row["n_rows"], row["n_null"], row["n_distinct"], row["min_number"], row["max_number"], row["main_form"]) == (8, 1, 3, 1.0, 30.0, "9")
     change = {r["load_id"]: r for r in P.population_stability(c).collect()}
     assert change["b"]["psi"] > 5 and abs(change["a"]["chi_square"] - 8.0) < 1e-9
+
+
+def test_stability_index_against_brute_force(spark):
+    loads = {"a": [1, 2, 3, 4, 5] * 20, "b": [1, 2, 3, 4, 5] * 10 + [None, 6], "lost": [5, 5, 7], "other": [8, 9], None: [1, 2, None]}
+
+    def share(xs, x):
+        return max(Counter(xs)[x] / len(xs), 1e-4)
+
+    want = {}
+    for load, xs in loads.items():
+        rest = [x for k, ys in loads.items() if k != load for x in ys]
+        want[load] = sum((share(xs, x) - share(rest, x)) * log(share(xs, x) / share(rest, x)) for x in {*xs, *rest})
+    got = {r["load_id"]: r["psi"] for r in P.population_stability(counts(spark, loads)).collect()}
+    assert got == pytest.approx(want, abs=1e-9)
