@@ -89,6 +89,13 @@ def test_spellings_copies_and_empty(spark):
     assert found(spark, []) == []
 
 
+def test_copies_that_give_less(spark):
+    rows = [player(i, "Ann Ash", school=None) for i in "AB"] + [player("C", "Ann Ash", weight="151", school=None)]
+    rows += [player(i, "Zoe Birch", None, None, town="Fir") for i in "DE"] + [player(i, "Ida Elder", None, None, None, town="Yew") for i in "FG"] + [player(i, "Una Larch", "6-0", "190", None, None) for i in "HI"]
+    rows += [player(i, "Sky", town="Ivy") for i in "LM"]
+    assert found(spark, rows) == [("A", "B"), ("A", "C"), ("B", "C"), ("D", "E"), ("F", "G"), ("L", "M")]
+
+
 def test_classes_of_a_long_chain(spark):
     links = spark.createDataFrame([(f"n{i:03}", f"n{i + 1:03}") for i in range(70)] + [("z1", "z2"), ("z2", "z1"), ("q", "q")], "a string, b string")
     got = {r["id"]: r["class_id"] for r in components.linked_classes(links).collect()}
