@@ -218,6 +218,13 @@ def normalize_name(spark, d):
     return named.select("player_id", "normalized", surname(F.col("normalized")).alias("surname"), first_initial(F.col("normalized")).alias("initial"))
 
 
+@_query()
+def normalize_name_all(spark, d):
+    """normalize_name over all players, null names and names in any script too; DuckDB's strip_accents doesn't follow NFKD there."""
+    named = table(spark, d, "players").select("player_id", normalised_name(F.col("player_name")).alias("normalized"))
+    return named.select("player_id", "normalized", surname(F.col("normalized")).alias("surname"), first_initial(F.col("normalized")).alias("initial"))
+
+
 @_query(r"""with f as (select doc_id, trim(regexp_replace(text, '[ \t\n\x0b\f\r]+', ' ', 'g')) as t from documents) select doc_id, case when length(t) > 240 then substr(t, 1, 237) || '...' else t end as preview from f""")
 def preview_truncate(spark, d):
     return table(spark, d, "documents").select("doc_id", preview("text").alias("preview"))

@@ -43,3 +43,13 @@ def test_passer_rating(spark):
     got = [r[0] and round(r[0], 4) for r in df.select(passer_rating("a", "c", "y", "t", "i")).collect()]
     assert got == [120.8333, 102.0833, None]
     assert df.select(guarded_ratio("c", "a", 100.0).alias("r")).where("r is null").count() == 1
+
+
+def test_names_of_any_script_are_normalised(spark, tmp_path):
+    from tallyspark.plans.operator_queries import QUERIES
+
+    names = {"1": ("Chloé Ash", "chloe ash"), "2": ("ChloÃ© Ash", "chloa ash"), "3": ("Łucja Šťastná", "ucja stastna"), "4": ("Ann\u00a0O’Hara", "ann o hara"), "5": ("ﬁona Ｂirch", "fiona birch"), "6": ("王芳", None), "7": (None, None), "8": ("", None)}
+    spark.createDataFrame([(i, n) for i, (n, _) in names.items()], "player_id string, player_name string").write.parquet(f"{tmp_path}/players.parquet")
+    got = {r["player_id"]: r for r in QUERIES["normalize_name_all"](spark, str(tmp_path)).collect()}
+    assert {i: r["normalized"] for i, r in got.items()} == {i: want for i, (_, want) in names.items()}
+    assert all((r["surname"], r["initial"]) == ((w.split()[-1], w[0]) if (w := r["normalized"]) else (None, None)) for r in got.values())
