@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import broken_lines, profile, references, schema_drift
@@ -14,6 +15,7 @@ REFERENCE_TABLES = ("player_season_stats", "team_season_stats", "player_game_sta
 
 # The ranges in which the profiled columns are right.
 PROFILE_RANGES = {("games", "week"): (1, 20), ("standings", "wins"): (0, 20), ("standings", "win_pct"): (0, 1)}
+DOMAIN_TABLES = ("teams", "players", "rosters", "games", "player_game_stats", "player_season_stats", "team_season_stats", "standings")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +55,24 @@ def p3_failed_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_drift.DriftedFeeds(table(spark, sf_dir, "feed_rows")).failed_casts()
 
 
+def _load_of(df: DataFrame) -> tuple[Column, tuple[str, ...]]:
+    """What counts as the load of a row, and the columns that say just that: load_id, else the feed, else the month of loaded_at in UTC."""
+    for name in ("load_id", "feed"):
+        if name in df.columns:
+            return F.col(name), (name,)
+    return F.date_format("loaded_at", "yyyy-MM"), ()
+
+
+def _all_counts(spark: SparkSession, sf_dir: str, load_columns: bool) -> DataFrame:
+    """The value counts of all columns of the domain tables; load_columns: those that name the load too."""
+    counts = []
+    for name in DOMAIN_TABLES:
+        df = table(spark, sf_dir, name)
+        load, own = _load_of(df)
+        counts.append(profile.value_counts(df, name, [c for c in df.columns if load_columns or c not in own], load))
+    return reduce(DataFrame.unionByName, counts)
+
+
 def _profile_counts(spark: SparkSession, sf_dir: str, every_column: bool) -> DataFrame:
     counts = []
     for name in ("games", "standings"):
@@ -67,11 +87,20 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.column_profile(_profile_counts(spark, sf_dir, every_column=True)).select("table_name", "column_name", "n_rows", "n_null", "n_distinct", "min_number", "max_number", "main_form", "n_forms", "n_main_form", F.round("null_share", 6).alias("null_share"))
+    return _profiled(_profile_counts(spark, sf_dir, every_column=True))
+
+
+def p4_profile_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """p4_profile for all eight domain tables, load_id and feed included."""
+    return _profiled(_all_counts(spark, sf_dir, load_columns=True))
+
+
+def _profiled(counts: DataFrame) -> DataFrame:
+    return profile.column_profile(counts).select("table_name", "column_name", "n_rows", "n_null", "n_distinct", "min_number", "max_number", "main_form", "n_forms", "n_main_form", F.round("null_share", 6).alias("null_share"))
 
 
 def p4_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.population_stability(_profile_counts(spark, sf_dir, every_column=True)).select("table_name", "column_name", "load_id", "n_load", F.round("psi", 6).alias("psi"), F.round("chi_square", 3).alias("chi_square"))
+    return profile.population_stability(_all_counts(spark, sf_dir, load_columns=False)).select("table_name", "column_name", "load_id", "n_load", F.round("psi", 6).alias("psi"), F.round("chi_square", 3).alias("chi_square"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -87,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_failed_casts": p3_failed_casts,
     "p4_found": p4_found,
     "p4_profile": p4_profile,
+    "p4_profile_all": p4_profile_all,
     "p4_change": p4_change,
 }
 

@@ -65,3 +65,20 @@ def test_stability_index_against_brute_force(spark):
         want[load] = sum((share(xs, x) - share(rest, x)) * log(share(xs, x) / share(rest, x)) for x in {*xs, *rest})
     got = {r["load_id"]: r["psi"] for r in P.population_stability(counts(spark, loads)).collect()}
     assert got == pytest.approx(want, abs=1e-9)
+
+
+def test_all_domain_tables_are_profiled(spark):
+    from tallyspark.plans import data_queries as Q
+    from tallyspark.sources.tables import table
+
+    d = "/root/testdata/sf0.001"
+    tables = {t: table(spark, d, t) for t in ("teams", "players", "rosters", "games", "player_game_stats", "player_season_stats", "team_season_stats", "standings")}
+    got = {(r["table_name"], r["column_name"]): r for r in Q.QUERIES["p4_profile_all"](spark, d).collect()}
+    assert set(got) == {(t, c) for t, df in tables.items() for c in df.columns}
+    yards = [r[0] for r in tables["player_game_stats"].select("rushing_yards").collect()]
+    row, given = got["player_game_stats", "rushing_yards"], [y for y in yards if y is not None]
+    assert (row["n_rows"], row["n_null"], row["n_distinct"], row["min_number"], row["max_number"]) == (len(yards), yards.count(None), len({*given}), min(given), max(given))
+    changed = {(r["table_name"], r["column_name"], r["load_id"]) for r in Q.QUERIES["p4_change"](spark, d).collect()}
+    feeds = {r[0] for r in tables["player_game_stats"].select("feed").distinct().collect()}
+    assert {load for t, c, load in changed if (t, c) == ("player_game_stats", "rushing_yards")} == feeds
+    assert {(t, c) for t, c, _ in changed} == set(got) - {("games", "load_id"), ("standings", "load_id"), ("player_game_stats", "feed")}
