@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -31,12 +32,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a local one only where none is set."""
+    """The shared folder named by the cluster. Only a local master, where one machine does all, may go without: a folder of its own is made."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not named and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines of the cluster share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallyspark-"))
     return context._jsc.sc().getCheckpointDir().get()
 
@@ -47,6 +50,18 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df if 2 * df.rdd.getNumPartitions() > cores else df.repartition(cores, key)
 
 
+BROADCAST_ROWS = 100_000
+
+
+def join_counted(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", most: int = BROADCAST_ROWS) -> DataFrame:
+    """A join that broadcasts ``right`` only if its rows, counted here, are ``most`` or fewer, and else sorts and merges.
+
+    For tables whose size Spark can't foretell, such as what Python functions or filters leave over; ``right`` is read twice, so it should be narrow or written.
+    """
+    few = right.limit(most + 1).count() <= most
+    return left.join(right.hint("broadcast" if few else "merge"), on, how)
+
+
 _WRITTEN: list[tuple[SparkSession, str]] = []
 
 
