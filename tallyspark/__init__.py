@@ -1,8 +1 @@
 """Tallyspark: a PySpark-native engine for league statistics and bulk data preparation."""
-
-import sys
-
-from pyspark import cloudpickle
-
-# functions that run on workers travel by value, so executors need no copy of the package
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

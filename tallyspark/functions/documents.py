@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..session import ship
 from .text import NULL_TOKENS
 
 # Other spellings of keys and the names they go by.
@@ -224,6 +225,7 @@ FLAT = "table_name string, league string, season long, endpoint string, file str
 
 def flatten_documents(docs: DataFrame) -> DataFrame:
     """docs (league, season, endpoint, resource_id, file, text) to flat rows; texts that are no JSON and unknown endpoints give none."""
+    ship(docs.sparkSession)
     schema = pa.schema([("table_name", pa.string()), ("league", pa.string()), ("season", pa.int64()), ("endpoint", pa.string()), ("file", pa.string()), ("pos", pa.int32()), ("fields", pa.map_(pa.string(), pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship
+
 
 def normalise(name: str | None) -> str | None:
     """Without accents and marks, lower case, words parted by one blank; null if nothing is left."""
@@ -20,12 +22,17 @@ def normalise(name: str | None) -> str | None:
 
 
 @F.arrow_udf(T.StringType())
-def normalised_name(names: pa.Array) -> pa.Array:
+def _normalised(names: pa.Array) -> pa.Array:
     coded = names.dictionary_encode()
     words = pa.array([normalise(n) for n in coded.dictionary.to_pylist()], pa.string())
     return words.take(coded.indices)
 
 
+def normalised_name(name: Column) -> Column:
+    ship()
+    return _normalised(name)
+
+
 def surname(normalised: Column) -> Column:
     return F.element_at(F.split(normalised, " "), -1)
 

@@ -20,6 +20,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from ..session import ship
+
 # The fields of a recovery report record, its endpoints and categories.
 FIELDS = (
     "source_file", "recovered_file", "league", "season", "endpoint", "resource_id", "category", "success",
@@ -150,5 +152,6 @@ def load_report_lines(lines: DataFrame) -> DataFrame:
             if batch.num_rows:
                 yield _parse(batch, _ARROW)
 
+    ship(lines.sparkSession)
     narrow = lines.selectExpr("cast(line_id as long) line_id", "cast(report_file as string) report_file", "cast(line_text as string) line_text")
     return narrow.mapInArrow(run, SCHEMA)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import id_key
-from ..session import shuffle_partitions
+from ..session import ship, shuffle_partitions
 
 NEVER = np.iinfo(np.int64).max
 ALWAYS = np.iinfo(np.int64).min
@@ -108,7 +108,7 @@ def orphan_references(refs: DataFrame, parents: DataFrame, ranges: int | None =
     force; empty parents make every reference an orphan; an empty ``refs``
     gives no rows.
     """
-    spark = refs.sparkSession
+    spark = ship(refs.sparkSession)
     ranges = min(ranges or 2 * shuffle_partitions(spark), 100_000)
     in_range = F.pmod(F.shiftright(F.xxhash64("key"), 20), F.lit(ranges)).cast("int")
     refs = refs.withColumn("g", in_range)

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship
+
 # a JSON string, closed or running to the end of the text
 _STRING = re.compile(r'"(?:[^"\\]|\\.)*(?:"|\\?$)', re.S)
 _CONTROL = re.compile(r"[\x00-\x1f]")
@@ -230,6 +232,7 @@ def classify_response(text: Column, endpoint: Column) -> Column:
     body = F.coalesce(F.regexp_replace(text, r"^\s+|\s+$", ""), F.lit(""))
     low, compact = F.lower(body), F.regexp_replace(body, r"\s+", "")
     looks = F.substring(body, 1, 1).isin("{", "[") | (F.contains(body, F.lit(":")) & (F.contains(body, F.lit('"')) | F.contains(body, F.lit("'"))))
+    ship()
     kind = parse_kind(body)
     return (
         F.when(body == "", "EMPTY")
@@ -261,6 +264,8 @@ RECOVERED = "category string, success boolean, recovery_rule string, parse_error
 
 def recover_texts(df: DataFrame, text: str, endpoint: str) -> DataFrame:
     """``df`` with the repair of each text; null texts are UNSUPPORTED."""
+    ship(df.sparkSession)
+
     @F.pandas_udf(RECOVERED)
     def run(texts: pd.Series, endpoints: pd.Series) -> pd.DataFrame:
         rows = [recover(t or "", e) for t, e in zip(texts, endpoints)]

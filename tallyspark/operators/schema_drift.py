@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import NULL_TOKENS
-from ..session import materialise
+from ..session import materialise, ship
 
 KINDS = ("text", "boolean", "decimal", "integer")
 _CELL = "array<struct<name:string,kind:string,value:string>>"
@@ -78,6 +78,7 @@ def load_cells(feed_rows: DataFrame) -> DataFrame:
                 [*(batch.column(c) for c in columns), pa.array([c is not None for c in cells]), pa.array(cells, kinds)], [*columns, "parsed", "cells"]
             )
 
+    ship(feed_rows.sparkSession)
     narrow = feed_rows.selectExpr(*(f"cast({f.split()[0]} as {f.split()[1]}) {f.split()[0]}" for f in keep), "payload")
     return narrow.mapInArrow(run, CELLS)
 

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import atexit
 import re
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,7 +27,26 @@ def make_session(master: str = "local[*]", partitions: int = 8, **conf: str) ->
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession | None = None) -> SparkSession | None:
+    """Sends the package to the workers of a session, once, so that they can import it whatever folder the driver was started in."""
+    spark = spark or SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext.applicationId not in _SHIPPED:
+        _SHIPPED.add(spark.sparkContext.applicationId)
+        package = Path(__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="tallyspark-code-")
+        atexit.register(shutil.rmtree, folder, True)
+        archive = Path(folder, "tallyspark.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+    return spark
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -46,6 +68,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def spread(df: DataFrame, key: str) -> DataFrame:
     """``df`` over all cores where its scan is too narrow to keep them busy: one file of one row group is one task. Rows are dealt by the hash of ``key``, so a task run again gets the same rows."""
+    ship(df.sparkSession)
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if 2 * df.rdd.getNumPartitions() > cores else df.repartition(cores, key)
 
@@ -70,7 +93,7 @@ def materialise(df: DataFrame) -> DataFrame:
 
     The tables of a session are removed when its driver ends.
     """
-    spark = df.sparkSession
+    spark = ship(df.sparkSession)
     path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     if not _WRITTEN:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A Parquet table of a data directory; Catalyst prunes columns and pushes filters."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
