@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import lru_cache
+from collections import defaultdict
+from collections.abc import Callable
+from functools import lru_cache, wraps
 
 # Common English short forms, each line one family of first names.
 NICKNAMES = """
@@ -78,10 +80,14 @@ INITIALS: dict[str, frozenset[str]] = {n: frozenset(m[0] for m in FAMILIES if FA
 
 SUFFIXES = frozenset("jr sr ii iii iv dr ms mrs mr miss".split())
 _DIGITS = str.maketrans("01345", "oleas")
+LONG = 400
+FEW_WORDS, MANY_WORDS = 8, 40
 
 
 def fold(text: str) -> str:
     """Lower case without accents; UTF-8 read as Latin put right, ligatures and compatibility forms taken apart."""
+    if text.isascii():
+        return text.lower()
     if "Ã" in text or "Â" in text:
         for codec in ("cp1252", "latin-1"):
             try:
@@ -93,45 +99,61 @@ def fold(text: str) -> str:
     return "".join(c for c in flat if not unicodedata.combining(c)).lower().replace("ß", "ss").replace("ø", "o").replace("ł", "l")
 
 
-@lru_cache(maxsize=200_000)
+def cached(most: int) -> Callable[[Callable], Callable]:
+    """A function of texts whose results are kept, up to ``most`` of them; long texts are worked out anew, so what is kept is bounded in bytes too."""
+
+    def wrap(f: Callable) -> Callable:
+        kept = lru_cache(maxsize=most)(f)
+
+        @wraps(f)
+        def run(text: str, *more: object) -> object:
+            return kept(text, *more) if len(text) + sum(len(m) for m in more if isinstance(m, (str, tuple))) <= LONG else f(text, *more)
+
+        return run
+
+    return wrap
+
+
+@cached(200_000)
 def tokens(name: str) -> tuple[str, ...]:
-    """The words of a name without bracketed nicknames, eight at most; digits typed for letters put right, a glued name split at its capitals."""
+    """The words of a name without bracketed nicknames; digits typed for letters put right, a glued name split at its capitals."""
     text = re.sub(r"\([^)]*\)|[\"“][^\"”]*[\"”]", " ", name).strip() or name.strip()
     if "Ã" not in text and not re.search(r"[\s,.]", text):
         text = re.sub(r"(?<=[a-zß-ÿ])(?=[A-ZÀ-Þ])", " ", text)
     words = re.findall(r"[^\W_]+", re.sub(r"['’`´]", "", fold(text)))
-    words = [w.translate(_DIGITS) if re.search(r"[a-z]", w) else w for w in words]
-    words = [w for w in words if w not in SUFFIXES]
-    return tuple(words[:7] + ["".join(words[7:])] if len(words) > 8 else words)
+    words = [w if w.isalpha() else w.translate(_DIGITS) if re.search(r"[a-z]", w) else w for w in words]
+    return tuple([w for w in words if w not in SUFFIXES])
 
 
-@lru_cache(maxsize=500_000)
+@cached(500_000)
 def edits(a: str, b: str, most: int) -> int:
-    """Edit distance with transpositions of neighbours, or most + 1 if it is greater."""
+    """Edit distance with transpositions of neighbours, or most + 1 if it is greater. Only the band that ``most`` edits can reach is filled."""
     if a == b:
         return 0
+    over = most + 1
     if abs(len(a) - len(b)) > most:
-        return most + 1
-    before: list[int] = []
-    row = list(range(len(b) + 1))
+        return over
+    before: dict[int, int] = {}
+    row = {j: j for j in range(min(most, len(b)) + 1)}
     for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            d = min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (x != y))
+        new = {0: i} if i <= most else {}
+        for j in range(max(1, i - most), min(len(b), i + most) + 1):
+            y = b[j - 1]
+            d = min(row.get(j, over) + 1, new.get(j - 1, over) + 1, row.get(j - 1, over) + (x != y))
             if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, before[j - 2] + 1)
-            new.append(d)
-        if min(new) > most:
-            return most + 1
+                d = min(d, before.get(j - 2, over) + 1)
+            new[j] = d
+        if min(new.values()) > most:
+            return over
         before, row = row, new
-    return row[-1] if row[-1] <= most else most + 1
+    return min(row.get(len(b), over), over)
 
 
 def allowed_edits(length: int) -> int:
     return 0 if length < 3 else 1 if length < 6 else 2 if length < 11 else 3
 
 
-@lru_cache(maxsize=500_000)
+@cached(500_000)
 def token_likeness(a: str, b: str) -> float:
     """1 for equal words, less for short forms, initials and typing errors, 0 for different words."""
     if a == b:
@@ -157,11 +179,49 @@ def token_likeness(a: str, b: str) -> float:
     return 0.0
 
 
+def _assigned(like: list[list[float]]) -> list[tuple[int, int]]:
+    """An optimal assignment of rows to columns, no more rows than columns, by shortest augmenting paths."""
+    n, m = len(like), len(like[0])
+    of_row, of_column, taken = [0.0] * (n + 1), [0.0] * (m + 1), [0] * (m + 1)
+    for i in range(1, n + 1):
+        taken[0], at = i, 0
+        least, came, seen = [float("inf")] * (m + 1), [0] * (m + 1), [False] * (m + 1)
+        while taken[at]:
+            seen[at], row, step, then = True, taken[at], float("inf"), 0
+            for j in range(1, m + 1):
+                if not seen[j]:
+                    cost = -like[row - 1][j - 1] - of_row[row] - of_column[j]
+                    if cost < least[j]:
+                        least[j], came[j] = cost, at
+                    if least[j] < step:
+                        step, then = least[j], j
+            for j in range(m + 1):
+                if seen[j]:
+                    of_row[taken[j]] += step
+                    of_column[j] -= step
+                else:
+                    least[j] -= step
+            at = then
+        while at:
+            taken[at], at = taken[came[at]], came[at]
+    return [(taken[j] - 1, j - 1) for j in range(1, m + 1) if taken[j]]
+
+
 def align(a: tuple[str, ...], b: tuple[str, ...]) -> list[tuple[int, int, float]]:
-    """The pairs of tokens of an optimal assignment: the greatest sum of likenesses, each token used once."""
+    """The pairs of tokens of an optimal assignment: the greatest sum of likenesses, each token used once.
+
+    Names of more than ``MANY_WORDS`` words each are texts rather than names: their equal words are paired, others not.
+    """
     if len(a) > len(b):
         return [(i, j, s) for j, i, s in align(b, a)]
+    if len(a) > MANY_WORDS:
+        spots = defaultdict(list)
+        for j in range(len(b) - 1, -1, -1):
+            spots[b[j]].append(j)
+        return [(i, spots[x].pop(), 1.0) for i, x in enumerate(a) if spots[x]]
     like = [[token_likeness(x, y) for y in b] for x in a]
+    if len(a) > FEW_WORDS:
+        return [(i, j, like[i][j]) for i, j in sorted(_assigned(like)) if like[i][j] > 0]
     best: dict[int, tuple[float, tuple]] = {0: (0.0, ())}
     for i in range(len(a)):
         step: dict[int, tuple[float, tuple]] = {}
@@ -173,7 +233,7 @@ def align(a: tuple[str, ...], b: tuple[str, ...]) -> list[tuple[int, int, float]
     return list(max(best.values(), key=lambda x: x[0])[1])
 
 
-@lru_cache(maxsize=500_000)
+@cached(500_000)
 def name_likeness(a: str, b: str, common: tuple[str, ...] = ()) -> tuple[float, int, int, int]:
     """(likeness of the aligned tokens, full words aligned, initials aligned, full words left over on the fuller side).
 

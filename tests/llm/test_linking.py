@@ -169,3 +169,53 @@ def test_model_learns_and_calibrates():
     p = 1 / (1 + np.exp(-(score * m.slope + m.offset)))
     assert ((p > 0.5) == (y > 0.5))[held].mean() > 0.85
     assert abs(p[held].mean() - y[held].mean()) < 0.03
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["ann", "anne", "lee", "leigh", "x", "j", "marie", "mary"]), min_size=9, max_size=11), st.lists(st.sampled_from(["ann", "lee", "j", "marie", "q"]), min_size=9, max_size=11))
+def test_long_names_are_assigned_as_well_as_short_ones(a, b):
+    """The sum of likenesses equals that of the table over all subsets that short names use."""
+
+    def best(rows):
+        sums = {0: 0.0}
+        for x in rows:
+            step = dict(sums)
+            for used, total in sums.items():
+                for j, y in enumerate(b):
+                    if not used >> j & 1:
+                        step[used | 1 << j] = max(step.get(used | 1 << j, -1.0), total + names.token_likeness(x, y))
+            sums = step
+        return max(sums.values())
+
+    pairs = names.align(tuple(a), tuple(b))
+    assert len({i for i, _, _ in pairs}) == len({j for _, j, _ in pairs}) == len(pairs)
+    assert sum(s for _, _, s in pairs) == pytest.approx(best(a))
+
+
+def test_names_of_many_words_and_letters():
+    words = [f"word{chr(97 + n % 26)}{chr(97 + n // 26)}" for n in range(300)]
+    assert names.name_likeness(" ".join(words), " ".join(reversed(words)))[0] == 1.0
+    assert names.name_likeness(" ".join(words), " ".join(words[:-1] + ["other", "thing"]))[0] == 0.0
+    assert names.name_likeness("x" * 20_000 + " Ash", "x" * 19_999 + "y Ash")[0] > 0.5
+
+
+def test_hot_towns_and_names_are_narrowed_alike(spark):
+    """A town with a third of all persons, half of them of one first name: whatever the bound, the same links."""
+    first, second = ["Jane", "Jane", "Jane", "Carla", "Nora"], ["Ash", "Birch", "Cedar", "Damson", "Elder", "Fir", "Gorse", "Hazel"]
+    rows = []
+    for n in range(160):
+        town = "Elm Bay" if n % 3 else f"Town {chr(97 + n % 20)}"
+        name = f"{first[n % 5]} {second[n % 8]}{'son' if n % 7 == 0 else ''}"
+        rows.append(player(f"P{n:03}", name, None if n % 11 == 0 else f"5-{n % 12}", None if n % 13 == 0 else str(120 + n % 40), None if n % 4 else "Oak High School", town))
+        if n % 6 == 0:
+            rows.append(player(f"Q{n:03}", name[:2] + name[3:] if n % 12 else f"{name[0]}. {name.split()[1]}", rows[-1][2], rows[-1][3], rows[-1][4], town))
+    df = spark.createDataFrame(rows, PLAYERS)
+    want = sorted(tuple(r) for r in spellings.pairs_of_classes(spellings.link_spellings(df)).collect())
+    assert len(want) > 20
+    for most in (40, 12, 3):
+        assert sorted(tuple(r) for r in spellings.pairs_of_classes(spellings.link_spellings(df, most)).collect()) == want
+
+
+def test_a_copy_keeps_the_links_of_its_representative(spark):
+    rows = [player("P1", "Johnsonash", school=None), player("P2", "Johnsonash", school=None), player("P3", "Johnson Ash", weight="151", school=None)]
+    assert found(spark, rows) == [("P1", "P2"), ("P1", "P3"), ("P2", "P3")]
