@@ -12,7 +12,6 @@ and scores cover all rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import id_key, name_key, valued
 from ..session import materialise
-from .names import name_likeness, tokens
+from .names import cached, name_likeness, tokens
 
 HASHES = 4
 FEATURES = ("like_mean", "like_max", "whole", "by_initial", "nameless", "number_same", "number_other", "lead", "number_lead")
@@ -34,7 +33,7 @@ def number_of(column: str) -> Column:
     return F.expr(f"try_cast(regexp_extract({column}, '^\\\\s*(?:#|No\\\\.?|no\\\\.?|nr\\\\.?)?\\\\s*0*([0-9]{{1,3}})\\\\s*$', 1) as int)")
 
 
-@lru_cache(maxsize=200_000)
+@cached(200_000)
 def token_minhashes(token: str) -> tuple[str, ...]:
     """One block name per hash function: the smallest hash of the token's letter pairs, its ends marked."""
     padded = f"^{token}$"
@@ -98,7 +97,7 @@ def source_spellings(stats: DataFrame, rosters: DataFrame, wanted: DataFrame) ->
         id_key("source_player_id").alias("source"), "league", "season", id_key("team_id").alias("team"),
         F.when(id_key("team_id").isNull(), name_key(valued("team_name"))).alias("team_name"), valued("player_name").alias("name"), number_of("roster_number").alias("number"),
     ).where("source is not null and league is not null and season is not null")
-    own = lines.join(wanted.select("source"), "source").groupBy(*lines.columns).agg(F.count("*").alias("n"))
+    own = lines.join(wanted.select("source").hint("merge"), "source").groupBy(*lines.columns).agg(F.count("*").alias("n"))
     named = own.join(teams, ["league", "season", "team_name"], "left").withColumn("team", F.coalesce("team", "team_by_name")).where("team is not null")
     return named.groupBy("source", *SCOPE, "name", "number").agg(F.sum("n").alias("n"))
 
@@ -107,12 +106,13 @@ def _pair_evidence(spellings: DataFrame, people: DataFrame) -> DataFrame:
     """Features of (source, scope, player) candidates that meet in blocks, from all spellings of the source.
 
     The spellings that meet a candidate in no block count against it as well,
-    so shares are of all the source's lines in the scope.
+    so shares are of all the source's lines in the scope. Joins sort and merge:
+    how many rows the blocks make can't be foretold.
     """
     left = _with_blocks(spellings, ["source", *SCOPE]).groupBy("source", *SCOPE, "block").agg(F.max("weight").alias("weight"))
     right = _with_blocks(people, ["player"]).withColumnRenamed("weight", "other_weight")
-    pairs = left.join(right, "block").groupBy("source", *SCOPE, "player").agg(F.sum(F.greatest("weight", "other_weight")).alias("shared")).where("shared > 1").drop("shared")
-    met = pairs.join(people.withColumnsRenamed({"name": "roster_name", "number": "roster_number"}), [*SCOPE, "player"]).join(spellings, ["source", *SCOPE])
+    pairs = left.join(right.hint("merge"), "block").groupBy("source", *SCOPE, "player").agg(F.sum(F.greatest("weight", "other_weight")).alias("shared")).where("shared > 1").drop("shared")
+    met = pairs.join(people.withColumnsRenamed({"name": "roster_name", "number": "roster_number"}).hint("merge"), [*SCOPE, "player"]).join(spellings.hint("merge"), ["source", *SCOPE])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,17 +148,20 @@ def _pair_evidence(spellings: DataFrame, people: DataFrame) -> DataFrame:
 
 def with_rivals(evidence: DataFrame) -> DataFrame:
     """Adds how far a candidate leads the best other one of its source, by name and by number."""
-    # the two best suffice, and aggregates find them without holding the group
-    first = evidence.groupBy("source", *SCOPE).agg(F.max(F.struct("like_mean", "player")).alias("t"), F.max(F.struct("number_same", "player")).alias("u"))
-    joined = evidence.join(first, ["source", *SCOPE])
-    second = (
-        joined.groupBy("source", *SCOPE)
-        .agg(F.max(F.when(F.col("player") != F.col("t.player"), F.col("like_mean"))).alias("t2"), F.max(F.when(F.col("player") != F.col("u.player"), F.col("number_same"))).alias("u2"))
+    scope = ["source", *SCOPE]
+    # the highest value, how many candidates have it and the next lower one tell every candidate's best rival; no group is held
+    first = evidence.groupBy(scope).agg(F.max("like_mean").alias("t"), F.max("number_same").alias("u"))
+    joined = evidence.join(first.hint("merge"), scope)
+    second = joined.groupBy(scope).agg(
+        F.count_if(F.col("like_mean") == F.col("t")).alias("n_t"), F.max(F.when(F.col("like_mean") < F.col("t"), F.col("like_mean"))).alias("t2"),
+        F.count_if(F.col("number_same") == F.col("u")).alias("n_u"), F.max(F.when(F.col("number_same") < F.col("u"), F.col("number_same"))).alias("u2"),
     )
-    full = joined.join(second, ["source", *SCOPE])
-    rival = F.when(F.col("player") == F.col("t.player"), F.coalesce("t2", F.lit(0.0))).otherwise(F.col("t.like_mean"))
-    rival_number = F.when(F.col("player") == F.col("u.player"), F.coalesce("u2", F.lit(0.0))).otherwise(F.col("u.number_same"))
-    return full.withColumn("lead", F.col("like_mean") - rival).withColumn("number_lead", F.col("number_same") - rival_number).drop("t", "u", "t2", "u2")
+
+    def lead(own: str, top: str, n: str, next_top: str) -> Column:
+        return F.col(own) - F.when((F.col(own) < F.col(top)) | (F.col(n) > 1), F.col(top)).otherwise(F.coalesce(next_top, F.lit(0.0)))
+
+    full = joined.join(second.hint("merge"), scope)
+    return full.withColumns({"lead": lead("like_mean", "t", "n_t", "t2"), "number_lead": lead("number_same", "u", "n_u", "u2")}).drop("t", "u", "n_t", "t2", "n_u", "u2")
 
 
 class MatchModel:
@@ -209,16 +212,21 @@ def fit_model(features: np.ndarray, truth: np.ndarray, held: np.ndarray) -> Matc
 
 
 class SourceMatches:
-    """The matches of source ids with rosters; ``labelled`` bounds the source ids the model is fitted to."""
+    """The matches of source ids with rosters.
+
+    ``labelled`` bounds the source ids the model is fitted to, ``labelled_lines``
+    the lines that each of them may have: an id with more is no person, and
+    isn't learned from. Both bound the sample alone; every id without a player is matched.
+    """
 
-    def __init__(self, stats: DataFrame, rosters: DataFrame, players: DataFrame, labelled: int = 6_000):
-        ids = materialise(source_ids(stats).where("player is null or player = other and player <> 'PTEAM' and n <= 1000"))
-        # the labelled sample: a bounded number of ids by the smallest hash; ids of whole teams and hot ids tell nothing of persons
+    def __init__(self, stats: DataFrame, rosters: DataFrame, players: DataFrame, labelled: int = 6_000, labelled_lines: int = 1_000):
+        ids = materialise(source_ids(stats).where(f"player is null or player = other and player <> 'PTEAM' and n <= {int(labelled_lines)}"))
+        # the labelled sample: a bounded number of ids by the smallest hash
         sample = ids.where("player is not null").orderBy(F.xxhash64("source"), "source").limit(labelled).select("source", F.col("player").alias("truth"))
         wanted = materialise(ids.where("player is null").select("source", F.lit(None).cast("string").alias("truth")).unionByName(sample))
         people = roster_people(rosters, players)
         evidence = _pair_evidence(materialise(source_spellings(stats, rosters, wanted)), materialise(people))
-        self.evidence = materialise(with_rivals(materialise(evidence)).join(wanted, "source"))
+        self.evidence = materialise(with_rivals(materialise(evidence)).join(wanted.hint("merge"), "source"))
 
     def model(self) -> MatchModel:
         rows = self.evidence.where("truth is not null").select("source", (F.col("player") == F.col("truth")).cast("double").alias("y"), *FEATURES).toArrow()
