@@ -6,11 +6,13 @@ token u to token v exists if v may follow u in a correct encoding. The gadget of
 a merge (a, b) -> c takes away the arcs from every token that ends in a, as it
 stands when the merge's turn comes, to every token that begins with b; what
 ends or begins with a token at a given turn is read from its right and left
-spines of merges. A word is encoded by running the automaton over its bytes: of
-the vocabulary's tokens that end at a position, exactly one continues a correct
-path from the state kept where it begins, so each position keeps one state. The
-arc labels along the last state's path are the encoding; emitting a label's
-bytes decodes it.
+spines of merges. A word is encoded by table-driven steps over its bytes: a
+table of moves gives the state of the vocabulary's trie after each byte, and with
+it the tokens that end there; of those exactly one continues a correct path from
+the token kept where it begins, so each position keeps one. The arc labels along
+the path of the last position are the encoding; emitting a label's bytes decodes
+it. 50,257² arcs would not fit, so both tables are compiled for what is reached,
+and bounded.
 
 A table of words already run through the automaton, bounded in size, sits in
 front of it: most words of a corpus repeat.
@@ -21,9 +23,8 @@ from __future__ import annotations
 import base64
 import os
 import re
-import sys
-import types
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -41,7 +42,8 @@ WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s
 # The same for texts of ASCII alone, for Python's own engine.
 ASCII_WORDS = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII).findall
 
-WORD_TABLE = 400_000
+# Bounds of what a worker keeps: arcs and moves in entries, the words already run in bytes, about, and the longest word kept.
+ARCS, MOVES, WORD_BYTES, LONGEST_WORD = 300_000, 300_000, 64_000_000, 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -51,17 +53,24 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class MergeAutomaton:
-    """The automaton of a vocabulary given as ranks: bytes -> id, lower ids merged first."""
+    """The automaton of a vocabulary given as ranks: bytes -> id, lower ids merged first.
+
+    Two tables drive it: ``moves``, from a state of the vocabulary's trie and a
+    byte to the next state, which knows the tokens that end there, and ``arcs``,
+    which tokens may follow which. Both are compiled for what is reached, hold a
+    bounded number of entries, and are begun anew when full.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {i: token for token, i in ranks.items()}
-        self.longest = max(map(len, ranks))
+        self.size = max(ranks.values()) + 1
         self.parts: dict[int, tuple[int, int]] = {}
         self._right: dict[int, tuple] = {}
         self._left: dict[int, tuple] = {}
         self.arcs: dict[int, bool] = {}
-        self.size = max(ranks.values()) + 1
+        self.moves: dict[int, int] = {}
+        self._build_trie()
         # gadgets go in by rank: the parts of a token are the encoding by the merges before it
         for token, i in sorted(ranks.items(), key=lambda x: x[1]):
             if len(token) > 1:
@@ -69,22 +78,62 @@ class MergeAutomaton:
                 if len(parts) == 2:
                     self.parts[i] = (parts[0], parts[1])
 
+    def _build_trie(self) -> None:
+        """Children by state and byte, the state of the longest proper suffix, and the tokens that end in a state, longest first."""
+        self.child: dict[int, int] = {}
+        self.suffix = [0]
+        self.ends: list[tuple | None] = [None]
+        level = [(0, 0, token, i) for token, i in self.ranks.items() if token]
+        while level:
+            deeper = []
+            for state, at, token, i in level:
+                key = state << 8 | token[at]
+                if key not in self.child:
+                    self.child[key] = len(self.suffix)
+                    below = self._fallen(self.suffix[state], token[at]) if at else 0
+                    self.suffix.append(below)
+                    self.ends.append(self.ends[below])
+                if at + 1 == len(token):
+                    self.ends[self.child[key]] = (i, at + 1, self.ends[self.child[key]])
+                else:
+                    deeper.append((self.child[key], at + 1, token, i))
+            level = deeper
+
+    def _fallen(self, state: int, byte: int) -> int:
+        """The state after a byte: a child, or one of the longest suffix that has it."""
+        while (found := self.child.get(state << 8 | byte)) is None and state:
+            state = self.suffix[state]
+        return found or 0
+
+    def _move(self, key: int) -> int:
+        if len(self.moves) >= MOVES:
+            self.moves.clear()
+        state = self.moves[key] = self._fallen(key >> 8, key & 255)
+        return state
+
     def _run(self, word: bytes, below: int | None = None) -> list[int]:
         """The labels of the path of ``word``; with ``below``, in the automaton before the gadget of that rank."""
-        ranks, n, longest = self.ranks, len(word), self.longest
-        state: list[int] = [-1] * (n + 1)
-        start = [0] * (n + 1)
-        for end in range(1, n + 1):
-            for begin in range(max(0, end - longest), end):
-                token = ranks.get(word[begin:end])
-                if token is None or begin and state[begin] < 0 or below is not None and end - begin > 1 and token >= below:
+        n, moves, ends, size = len(word), self.moves, self.ends, self.size
+        known = self.arcs if below is None else {}
+        label, start, state = [-1] * (n + 1), [0] * (n + 1), 0
+        for end, byte in enumerate(word, 1):
+            key = state << 8 | byte
+            state = moves[key] if key in moves else self._move(key)
+            token_here = ends[state]
+            while token_here is not None:
+                token, length, token_here = token_here
+                begin = end - length
+                if below is not None and length > 1 and token >= below or begin and label[begin] < 0:
                     continue
-                if not begin or self.arc(state[begin], token, below):
-                    state[end], start[end] = token, begin
-                    break
+                if begin:
+                    pair = label[begin] * size + token
+                    if not (known[pair] if pair in known else self.arc(label[begin], token, below)):
+                        continue
+                label[end], start[end] = token, begin
+                break
         out, at = [], n
         while at:
-            out.append(state[at])
+            out.append(label[at])
             at = start[at]
         return out[::-1]
 
@@ -92,15 +141,17 @@ class MergeAutomaton:
         """(token, the rank at which it goes into the next) down a token's right or left edge, the token itself first."""
         kept = self._right if right else self._left
         if token not in kept:
-            out, until = [(token, self.size)], token
-            while token in self.parts:
-                token = self.parts[token][1 if right else 0]
-                out.append((token, until))
-                until = token
-            kept[token if not out else out[0][0]] = tuple(out)
-            return tuple(out)
+            out, inner = [(token, self.size)], token
+            while inner in self.parts:
+                until, inner = inner, self.parts[inner][1 if right else 0]
+                out.append((inner, until))
+            kept[token] = tuple(out)
         return kept[token]
 
+    def _made(self, token: int, turn: int) -> bool:
+        """Whether a token stands before the gadget of rank ``turn`` goes in: single bytes always do."""
+        return len(self.bytes_of[token]) == 1 or token < turn
+
     def arc(self, u: int, v: int, below: int | None = None) -> bool:
         """Whether v may follow u: no gadget, or none below a rank, has taken the arc away.
 
@@ -108,23 +159,18 @@ class MergeAutomaton:
         stand at its turn: each has been made and hasn't yet gone into a larger
         token. Of two occurrences of one merge's tokens the left one goes first.
         """
-        key = u * self.size + v
-        if below is None and key in self.arcs:
-            return self.arcs[key]
         top = self.size if below is None else below
-        ok = True
-        for a, a_until in self._spine(u, True):
-            for b, b_until in self._spine(v, False):
-                merged = self.ranks.get(self.bytes_of[a] + self.bytes_of[b])
-                # at the turn of the merge that takes a away, the pair across the border comes later in the text than a's own; b's own comes later than the pair
-                if merged is not None and merged < top and merged < a_until and merged <= b_until and self.parts.get(merged, (a, b)) == (a, b) and a_made(self, a, merged) and a_made(self, b, merged):
-                    ok = False
-                    break
-            if not ok:
-                break
+        # at the turn of the merge that takes a away, the pair across the border comes later in the text than a's own; b's own comes later than the pair
+        taken = any(
+            (merged := self.ranks.get(self.bytes_of[a] + self.bytes_of[b])) is not None and merged < top and merged < a_until and merged <= b_until
+            and self.parts.get(merged, (a, b)) == (a, b) and self._made(a, merged) and self._made(b, merged)
+            for a, a_until in self._spine(u, True) for b, b_until in self._spine(v, False)
+        )
         if below is None:
-            self.arcs[key] = ok
-        return ok
+            if len(self.arcs) >= ARCS:
+                self.arcs.clear()
+            self.arcs[u * self.size + v] = not taken
+        return not taken
 
     def encode_word(self, word: bytes) -> list[int]:
         return self._run(word)
@@ -134,11 +180,6 @@ class MergeAutomaton:
         return b"".join(self.bytes_of[i] for i in ids)
 
 
-def a_made(automaton: MergeAutomaton, token: int, turn: int) -> bool:
-    """Whether a token stands before the gadget of rank ``turn`` goes in: single bytes always do."""
-    return len(automaton.bytes_of[token]) == 1 or token < turn
-
-
 class CorpusEncoder:
     """Texts to ids: cut into words, words looked up or run through the automaton."""
 
@@ -148,6 +189,7 @@ class CorpusEncoder:
         self.automaton = MergeAutomaton(read_ranks(path))
         self.cut_any = regex.compile(WORDS).findall
         self.table: dict[str, list[int]] = {}
+        self.held = 0
 
     def cut(self, text: str) -> list[str]:
         # of ASCII texts the plain engine finds the same words, faster
@@ -155,9 +197,12 @@ class CorpusEncoder:
 
     def _word(self, word: str) -> list[int]:
         ids = self.automaton.encode_word(word.encode("utf-8", "replace"))
-        if len(self.table) >= WORD_TABLE:
-            self.table.clear()
-        self.table[word] = ids
+        if len(word) <= LONGEST_WORD:
+            if self.held >= WORD_BYTES:
+                self.table.clear()
+                self.held = 0
+            self.table[word] = ids
+            self.held += 200 + 4 * len(word) + 40 * len(ids)
         return ids
 
     def encode(self, text: str | None) -> list[int]:
@@ -173,13 +218,10 @@ class CorpusEncoder:
         return sum([len(get(w) or slow(w)) for w in self.cut(text)])
 
 
+@lru_cache(maxsize=4)
 def encoder(path: str) -> CorpusEncoder:
     """The encoder of a vocabulary file, built once per worker process."""
-    kept = sys.modules.setdefault("tallyspark_worker_cache", types.ModuleType("tallyspark_worker_cache"))
-    encoders = kept.__dict__.setdefault("encoders", {})
-    if path not in encoders:
-        encoders[path] = CorpusEncoder(path)
-    return encoders[path]
+    return CorpusEncoder(path)
 
 
 def vocabulary(name: str = "byte_bpe_50k", folder: str | None = None) -> str:
