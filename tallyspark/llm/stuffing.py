@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..session import spread
 
 STATES = ("prose", "links", "tags", "menu")
-TRAITS = ("url", "bare", "sentence", "code", "hashtags", "list", "vocabulary", "some_vocabulary", "repeats", "price", "bars", "labelled", "short")
+TRAITS = ("url", "bare", "sentence", "code", "hashtags", "list", "vocabulary", "some_vocabulary", "repeats", "price", "bars", "labelled", "short", "lonely")
 
 # Prior chance of each trait in a line of each state, and the weight of the prior in lines.
 _PRIOR = {
@@ -37,28 +37,18 @@ _PRIOR = {
     "code":            (0.55, 0.03, 0.04, 0.03),
     "hashtags":        (0.002, 0.01, 0.20, 0.02),
     "list":            (0.02, 0.02, 0.40, 0.50),
-    "vocabulary":      (0.005, 0.20, 0.80, 0.50),
-    "some_vocabulary": (0.02, 0.40, 0.93, 0.70),
+    "vocabulary":      (0.005, 0.20, 0.50, 0.40),
+    "some_vocabulary": (0.02, 0.40, 0.65, 0.55),
     "repeats":         (0.10, 0.10, 0.85, 0.60),
     "price":           (0.01, 0.01, 0.20, 0.02),
     "bars":            (0.005, 0.01, 0.10, 0.85),
     "labelled":        (0.03, 0.001, 0.001, 0.001),
     "short":           (0.25, 0.30, 0.05, 0.20),
+    "lonely":          (0.06, 0.003, 0.01, 0.01),
 }
 _PRIOR_LINES = 60.0
 _STAY = (0.95, 0.90, 0.90, 0.85)
 
-# Words of trade in the languages of the corpus, with which a sample of few labels starts.
-TRADE = frozenset(
-    """
-cheap buy best discount sale online wholesale reviews official prescription shipping lowest price rated 2024 free near top
-comprar barato oferta descuento mejor precio envío gratis línea
-kaufen billig rabatt angebot preisvergleich beste versandkostenfrei
-acheter soldes promo livraison gratuite meilleur prix ligne pas cher
-激安 最安値 通販 口コミ 送料無料 人気
-""".split()
-)
-
 _URL = re.compile(r"https?://[^\s\"'<>)\]]+")
 _TAG = re.compile(r"</?[A-Za-z][^>]*>|<!--|-->|\[/?(?:url|img|b|i|link|size|color)\b[^\]]*\]", re.I)
 _TOLD = re.compile(r"(?:alt|title|content|keywords?)\s*=\s*(?:\"([^\"]*)\"|'([^']*)')", re.I)
@@ -107,6 +97,8 @@ def line_words(line: str) -> tuple[str, list[str]]:
 def page_traits(lines: list[str], vocabulary: frozenset[str]) -> list[int]:
     """The traits of each line, as bits in the order of TRAITS."""
     seen = [line_words(line) for line in lines]
+    # one or two lines with addresses are hardly a list of links: a trait like others, weighed by the model
+    few_links = sum("://" in line for line in lines) < 3
     counts = Counter(w for _, words in seen for w in words)
     out = []
     for line, (text, words) in zip(lines, seen):
@@ -126,7 +118,7 @@ def page_traits(lines: list[str], vocabulary: frozenset[str]) -> list[int]:
         repeats = n > 2 and not sentence and not code and sum(counts[w] > 3 for w in words) >= 0.4 * n
         out.append(
             url | (url and not labelled and not sentence and not code and n <= 12) << 1 | sentence << 2 | code << 3 | hashtags << 4 | listed << 5
-            | (n > 1 and hits >= 0.5 * n) << 6 | (n > 1 and hits >= 0.25 * n) << 7 | repeats << 8 | (_PRICE.search(visible) is not None and not code) << 9 | bars << 10 | labelled << 11 | (n < 3) << 12
+            | (n > 1 and hits >= 0.5 * n) << 6 | (n > 1 and hits >= 0.25 * n) << 7 | repeats << 8 | (_PRICE.search(visible) is not None and not code) << 9 | bars << 10 | labelled << 11 | (n < 3) << 12 | (url and few_links) << 13
         )
     return out
 
@@ -138,6 +130,8 @@ class LineModel:
         self.emissions, self.vocabulary = emissions, vocabulary
         self.log_start, self.log_moves = np.log(start), np.log(moves)
         self.kept: dict[int, list[float]] = {}
+        # if beginning with prose and staying in it are the likeliest of all beginnings and moves, lines that each favour prose have the all-prose path as their best: every factor of it is the greatest there is
+        self.prose_leads = bool(self.log_start[0] == self.log_start.max() and self.log_moves[0, 0] == self.log_moves.max())
 
     @staticmethod
     def prior(vocabulary: frozenset[str]) -> LineModel:
@@ -157,7 +151,7 @@ class LineModel:
     def label(self, codes: list[int]) -> list[int]:
         """The most likely states of the lines (Viterbi)."""
         scores = [self.score(c) for c in codes]
-        if all(s[0] >= max(s) for s in scores):
+        if self.prose_leads and all(s[0] >= max(s) for s in scores):
             return [0] * len(codes)
         moves = self.log_moves.tolist()
         best, back = [a + b for a, b in zip(self.log_start.tolist(), scores[0])], []
@@ -224,7 +218,7 @@ class LineModel:
 
 
 def learned_vocabulary(pages: list[tuple[list[str], bool]]) -> frozenset[str]:
-    """Words of trade, and the words that lines of spam pages hold far more often than other pages do."""
+    """The words that lines of spam pages hold far more often than other pages do."""
     spam, ham, spam_pages, ham_pages = Counter(), Counter(), 0, 0
     for lines, is_spam in pages:
         # the title of a message tells how it was committed rather than what it holds
@@ -235,7 +229,7 @@ def learned_vocabulary(pages: list[tuple[list[str], bool]]) -> frozenset[str]:
         else:
             ham_pages += 1
             ham.update(words)
-    out = set(TRADE)
+    out = set()
     for w, n in spam.items():
         if n > 2 and n / (spam_pages + 1) > 6 * (ham[w] + 0.5) / (ham_pages + 1) and math.log(n + 1) > 1:
             out.add(w)
@@ -259,17 +253,12 @@ def fit_line_model(documents: DataFrame, labels: DataFrame, most_pages: int = 4_
 
 
 def page_shares(text: str | None, model: LineModel) -> tuple[int, list[int]]:
-    """(characters, characters by state) of the message and added lines; blank lines don't count.
-
-    One or two links are no list: they count as prose.
-    """
+    """(characters, characters by state) of the message and added lines; blank lines don't count."""
     lines = [x for x in message_and_added(text or "") if x.strip()]
     chars = [0, 0, 0, 0]
     if lines:
-        path = model.label(page_traits(lines, model.vocabulary))
-        few = path.count(1) < 3
-        for line, state in zip(lines, path):
-            chars[0 if few and state == 1 else state] += len(line.strip())
+        for line, state in zip(lines, model.label(page_traits(lines, model.vocabulary))):
+            chars[state] += len(line.strip())
     return sum(chars), chars
 
 
