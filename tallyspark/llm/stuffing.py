@@ -44,7 +44,7 @@ _PRIOR = {
     "bars":            (0.005, 0.01, 0.10, 0.85),
     "labelled":        (0.03, 0.001, 0.001, 0.001),
     "short":           (0.25, 0.30, 0.05, 0.20),
-    "lonely":          (0.06, 0.003, 0.01, 0.01),
+    "lonely":          (0.06, 0.0002, 0.01, 0.01),
 }
 _PRIOR_LINES = 60.0
 _STAY = (0.95, 0.90, 0.90, 0.85)
