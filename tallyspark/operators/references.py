@@ -3,9 +3,10 @@
 Method: the key space is cut into ranges of the hashed key, each range holds its
 parents as sorted arrays, and batches of references are probed by vectorised
 binary search. Ranges of the hash need no sampling pass and are even for any
-key distribution; a key that many references name makes its range hot, so the
-references of a range are dealt over as many batches as their count needs while
-the range's parents, which are few, are copied to each batch.
+key distribution; their number follows from the number of references. A key that
+many references name makes its range hot: its references are dealt over as many
+batches as their count needs, while the range's parents, which are few, are
+copied to each batch.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import id_key
-from ..session import ship, shuffle_partitions
+from ..session import join_counted, materialise, ship, shuffle_partitions
 
 NEVER = np.iinfo(np.int64).max
 ALWAYS = np.iinfo(np.int64).min
@@ -98,6 +99,28 @@ def _misses(refs: pa.Table, parents: pa.Table) -> pa.Table:
     return out.filter(pa.array(~found))
 
 
+def deal(refs: DataFrame, parents: DataFrame, ranges: int | None = None, batch_rows: int = 200_000) -> tuple[DataFrame, DataFrame]:
+    """References and parents, each with range ``g`` and batch ``s``; parents are in every batch of their range.
+
+    There are as many ranges as the references need at ``batch_rows`` each, so
+    the parents of a range are few at any size, and are copied only in the
+    ranges that a hot key makes too large.
+    """
+    # one number comes to the driver: how many references there are
+    ranges = ranges or max(shuffle_partitions(refs.sparkSession), -(-refs.count() // batch_rows))
+    in_range = F.pmod(F.xxhash64("key"), F.lit(ranges)).cast("long")
+    refs = refs.withColumn("g", in_range)
+    hot = materialise(refs.groupBy("g").agg(F.ceil(F.count("*") / F.lit(batch_rows)).cast("int").alias("batches")).where("batches > 1"))
+    known = parents.groupBy("key", "start").agg(F.max("end").alias("end")).withColumn("g", in_range)
+    if hot.isEmpty():
+        return refs.withColumn("s", F.lit(0)), known.withColumn("s", F.lit(0))
+    # each side has a frame of its own: a cogroup could not tell the columns of one apart
+    of_refs, of_parents = (hot.select("g", F.col("batches").alias(name)) for name in ("r_batches", "p_batches"))
+    dealt = join_counted(refs, of_refs, ["g"], "left").withColumn("s", F.pmod(F.xxhash64("row_id"), F.coalesce("r_batches", F.lit(1))).cast("int")).drop("r_batches")
+    copied = join_counted(known, of_parents, ["g"], "left").withColumn("s", F.explode(F.sequence(F.lit(0), F.coalesce("p_batches", F.lit(1)) - 1))).drop("p_batches")
+    return dealt, copied
+
+
 def orphan_references(refs: DataFrame, parents: DataFrame, ranges: int | None = None, batch_rows: int = 200_000) -> DataFrame:
     """Rows of ``refs`` whose key has no parent in force at their time.
 
@@ -108,22 +131,9 @@ def orphan_references(refs: DataFrame, parents: DataFrame, ranges: int | None =
     force; empty parents make every reference an orphan; an empty ``refs``
     gives no rows.
     """
-    spark = ship(refs.sparkSession)
-    ranges = min(ranges or 2 * shuffle_partitions(spark), 100_000)
-    in_range = F.pmod(F.shiftright(F.xxhash64("key"), 20), F.lit(ranges)).cast("int")
-    refs = refs.withColumn("g", in_range)
-    # one number per range comes to the driver, and goes back by broadcast: how many batches the range's references need
-    sizes = refs.groupBy("g").agg(F.count("*").alias("n")).collect()
-    batches = [(r["g"], max(1, -(-r["n"] // batch_rows))) for r in sizes]
-    # two frames, one for each side: the cogroup below could not tell the columns of one apart
-    of_refs, of_parents = (F.broadcast(spark.createDataFrame(batches, "g int, batches int")) for _ in range(2))
-    refs = refs.join(of_refs, "g").withColumn("s", F.pmod(F.xxhash64("row_id"), "batches").cast("int")).drop("batches")
-    known = (
-        parents.groupBy("key", "start").agg(F.max("end").alias("end"))
-        .withColumn("g", in_range).join(of_parents, "g")
-        .withColumn("s", F.explode(F.sequence(F.lit(0), F.col("batches") - 1))).drop("batches")
-    )
-    return refs.groupBy("g", "s").cogroup(known.groupBy("g", "s")).applyInArrow(_misses, _OUT)
+    ship(refs.sparkSession)
+    dealt, known = deal(refs, parents, ranges, batch_rows)
+    return dealt.groupBy("g", "s").cogroup(known.groupBy("g", "s")).applyInArrow(_misses, _OUT)
 
 
 def league_references(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:

@@ -32,6 +32,18 @@ def test_in_force(spark):
     assert orphans(spark, rows, parents, ranges=1, batch_rows=2) == [2, 4, 6, 10, 10, 11, 13]
 
 
+def test_copies_of_parents_grow_with_them(spark):
+    """Ten times the references to ten times the parents, one parent a third of them: ten times the copies, about, not a hundred times."""
+    copies = []
+    for n in (2_000, 20_000):
+        refs = spark.range(n).selectExpr("case when id % 3 = 0 then 'hot' else concat('k', id % {0}) end as key".format(n // 10), "id as row_id", "'t' as table_name", "2020L as season", "1L as at")
+        parents = spark.range(n // 10).selectExpr("concat('k', id) as key", "0L as start", "9L as end")
+        dealt, known = R.deal(refs, parents, batch_rows=200)
+        assert dealt.count() == n
+        copies.append(known.count())
+    assert copies[1] < 15 * copies[0]
+
+
 def test_empty_sides(spark):
     rows = [(1, 2020, "a", "P1", DAY[5])]
     assert orphans(spark, rows, []) == [1]
