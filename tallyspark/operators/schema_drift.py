@@ -5,7 +5,7 @@ paths and types are aggregated by file; files of a stream are compared with the
 one before; the table of a feed is projected with typed columns, and values
 that fail their cast are reported. A rename is a field that stops and another
 that starts in the same file with the same type, whose names never stand side
-by side in a file of the feed and whose contents agree.
+by side in a file of the stream and whose contents agree.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import NULL_TOKENS
-from ..session import materialise, ship
+from ..session import join_counted, materialise, ship
 
 KINDS = ("text", "boolean", "decimal", "integer")
 _CELL = "array<struct<name:string,kind:string,value:string>>"
@@ -112,44 +112,63 @@ def field_steps(statistics: DataFrame, files: DataFrame) -> DataFrame:
     return steps.join(files.select("feed", "stream_id", "file_no", "file_id"), ["feed", "stream_id", "file_no"]).where("file_no > 1")
 
 
-def _content(cells: DataFrame) -> DataFrame:
-    """(feed, name, item, share): what a field holds, as a distribution over items.
+def _content(cells: DataFrame, names: DataFrame) -> DataFrame:
+    """(feed, name, item, n): what the fields ``names`` (feed, name) hold, as counts of items; other fields are left aside before they are taken apart.
 
     An item is a bin of a number (on a scale that widens with the number) or a
-    word or form of a text; texts that are numbers count as numbers.
+    word or form of a text, hashed; texts that are numbers count as numbers.
     """
     flat = cells.where("parsed").select("feed", F.explode("cells").alias("c")).select("feed", "c.name", "c.value").where("value is not null")
+    flat = join_counted(flat, names, ["feed", "name"], "left_semi")
     number = F.expr("try_cast(value as double)")
     size = F.round(F.signum(number) * F.log1p(F.abs(number) * 10) * 2)
     fraction = F.when(number != F.floor(number), ".").otherwise("")
     numeric = F.array(F.concat(F.lit("#"), size.cast("string")), F.concat(F.lit("#part"), fraction), F.concat(F.lit("#width"), F.length(F.regexp_replace("value", r"\..*", "")).cast("string")))
     words = F.transform(F.filter(F.split(F.lower("value"), r"[^\p{L}]+"), lambda w: w != ""), lambda w: F.concat(F.lit("w"), w))
     shape = F.regexp_replace(F.regexp_replace("value", r"\p{L}+", "a"), r"[0-9]+", "9")
-    texts = F.concat(F.array(F.concat(F.lit("f"), F.substring(shape, 1, 24))), words)
-    items = flat.select("feed", "name", F.explode(F.when(number.isNotNull(), numeric).otherwise(texts)).alias("item"))
+    texts = F.concat(F.array(F.concat(F.lit("f"), shape)), words)
+    items = flat.select("feed", "name", F.explode(F.transform(F.when(number.isNotNull(), numeric).otherwise(texts), lambda x: F.xxhash64(x))).alias("item"))
     return items.groupBy("feed", "name", "item").agg(F.count("*").alias("n"))
 
 
+_PAIRED = "feed string, stream_id string, file_no int, old_name string, new_name string, alike double"
+
+
+def _paired(pairs: pa.Table) -> pa.Table:
+    """The pairs of one file, the most alike first, ties by name; each field in one pair. Their number is that of fields."""
+    taken: set[tuple[int, str]] = set()
+    rows = []
+    for r in sorted(pairs.to_pylist(), key=lambda r: (-r["alike"], r["old_name"], r["new_name"])):
+        ends = {(0, r["old_name"]), (1, r["new_name"])}
+        if not ends & taken:
+            taken |= ends
+            rows.append(r)
+    return pa.Table.from_pylist(rows, schema=pairs.schema)
+
+
 def find_renames(cells: DataFrame, steps: DataFrame, statistics: DataFrame, least: float = 0.6) -> DataFrame:
-    """(feed, stream_id, file_no, old_name, new_name): pairs of a stopping and a starting field that carry the same content.
+    """(feed, stream_id, file_no, old_name, new_name, alike): pairs of a stopping and a starting field that carry the same content.
 
     Candidates are of the same type in adjoining files and never stand together
-    in a file of the feed. Their contents agree if the cosine of their item
-    counts is at least ``least``; each field is in one pair, the most alike
-    first, ties by name. A field without values carries no content.
+    in a file of the stream. Their contents, counted over the feed, agree if the
+    cosine of their item counts is at least ``least``; each field is in one
+    pair, the most alike first, ties by name. A field without values carries no
+    content.
     """
     keys = ["feed", "stream_id", "file_no"]
     gone = steps.where("before and not here and old_type is not null").select(*keys, F.col("name").alias("old_name"), F.col("old_type").alias("type"))
     new = steps.where("here and not before and new_type is not null").select(*keys, F.col("name").alias("new_name"), F.col("new_type").alias("type"))
-    pairs = materialise(gone.join(new, [*keys, "type"]))
-    names = statistics.select("feed", "file_id", "name").distinct()
-    kinds = pairs.select("feed", "old_name", "new_name").distinct()
+    pairs = gone.join(new, [*keys, "type"])
+    names = statistics.select("feed", "stream_id", "file_id", "name").distinct()
+    of_stream = ["feed", "stream_id", "old_name", "new_name"]
     together = (
-        kinds.join(names.withColumnRenamed("name", "old_name"), ["feed", "old_name"]).join(names.withColumnRenamed("name", "new_name"), ["feed", "new_name", "file_id"])
-        .select("feed", "old_name", "new_name").distinct()
+        pairs.select(*of_stream).distinct().join(names.withColumnRenamed("name", "old_name"), ["feed", "stream_id", "old_name"])
+        .join(names.withColumnRenamed("name", "new_name"), ["feed", "stream_id", "new_name", "file_id"]).select(*of_stream).distinct()
     )
-    kinds = materialise(kinds.join(together, ["feed", "old_name", "new_name"], "left_anti"))
-    content = materialise(_content(cells))
+    pairs = materialise(pairs.join(together, of_stream, "left_anti"))
+    kinds = pairs.select("feed", "old_name", "new_name").distinct()
+    wanted = materialise(kinds.select("feed", F.explode(F.array("old_name", "new_name")).alias("name")).distinct())
+    content = materialise(_content(cells, wanted))
     norm = content.groupBy("feed", "name").agg(F.sqrt(F.sum(F.col("n").cast("double") ** 2)).alias("norm"))
     weighed = content.join(norm, ["feed", "name"]).select("feed", "name", "item", (F.col("n") / F.col("norm")).alias("w"))
     alike = (
@@ -157,10 +176,8 @@ def find_renames(cells: DataFrame, steps: DataFrame, statistics: DataFrame, leas
         .join(weighed.withColumnsRenamed({"name": "new_name", "w": "b"}), ["feed", "new_name", "item"])
         .groupBy("feed", "old_name", "new_name").agg(F.sum(F.col("a") * F.col("b")).alias("alike")).where(F.col("alike") >= least)
     )
-    scored = pairs.join(alike, ["feed", "old_name", "new_name"])
-    best_old = Window.partitionBy(*keys, "old_name").orderBy(F.desc("alike"), "new_name")
-    best_new = Window.partitionBy(*keys, "new_name").orderBy(F.desc("alike"), "old_name")
-    return scored.withColumn("a", F.row_number().over(best_old)).withColumn("b", F.row_number().over(best_new)).where("a = 1 and b = 1").select(*keys, "old_name", "new_name", "alike")
+    scored = pairs.join(alike, ["feed", "old_name", "new_name"]).selectExpr(*(f"cast({f.split()[0]} as {f.split()[1]}) {f.split()[0]}" for f in _PAIRED.split(", ")))
+    return scored.groupBy(*keys).applyInArrow(_paired, _PAIRED)
 
 
 def schema_changes(cells: DataFrame) -> DataFrame:
