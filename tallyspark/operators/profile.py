@@ -14,46 +14,69 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NUMERIC = (T.NumericType,)
-
+from ..session import join_counted, materialise
 
 def _pieces(df: DataFrame, columns: list[str]) -> list[Column]:
-    """(column, text form, number) of each column to profile."""
+    """(number of the column, cell) of each column to profile; times are counted as whole numbers, which are shorter and exact."""
     out = []
-    for name in columns:
+    for n, name in enumerate(columns):
         col, kind = F.col(f"`{name}`"), df.schema[name].dataType
-        number = col.cast("double") if isinstance(kind, NUMERIC) else F.unix_micros(col.cast("timestamp")).cast("double") if isinstance(kind, (T.DateType, T.TimestampType)) else F.lit(None).cast("double")
-        out.append(F.struct(F.lit(name).alias("column_name"), col.cast("string").alias("value"), number.alias("number")))
+        cell = F.unix_date(col) if isinstance(kind, T.DateType) else F.unix_micros(col.cast("timestamp")) if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else col
+        out.append(F.struct(F.lit(n).alias("c"), cell.cast("string").alias("cell")))
     return out
 
 
-def value_counts(df: DataFrame, table_name: str, columns: list[str], load: Column) -> DataFrame:
-    """(table_name, load_id, column_name, value, number, n): how often each load holds each value. Nulls are a value."""
+def _read(df: DataFrame, columns: list[str]) -> tuple[Column, Column]:
+    """(text form, number) of a counted cell, by its column."""
+    kinds = [df.schema[c].dataType for c in columns]
+
+    def those(*of: type) -> Column:
+        return F.col("c").isin([n for n, k in enumerate(kinds) if isinstance(k, of)])
+
+    date, time = F.date_from_unix_date(F.col("cell").try_cast("int")), F.timestamp_micros(F.col("cell").try_cast("bigint"))
+    text = F.when(those(T.DateType), date.cast("string")).when(those(T.TimestampType, T.TimestampNTZType), time.cast("string")).otherwise(F.col("cell"))
+    number = F.when(those(T.DateType), F.unix_micros(date.cast("timestamp"))).when(those(T.NumericType, T.TimestampType, T.TimestampNTZType), F.col("cell").try_cast("double"))
+    return text, number
+
+
+def value_counts(df: DataFrame, table_name: str, columns: list[str], load: Column | None = None) -> DataFrame:
+    """(table_name, load_id, column_name, value, number, n): how often each load holds each value. Nulls are a value.
+
+    Without ``load`` the table is counted as a whole and there is no load_id.
+    Cells cross the shuffle as a column's number and a text; what can be told
+    from these is told afterwards, once per different value.
+    """
+    of_load = [] if load is None else ["load_id"]
+    cells = df.select(*([] if load is None else [load.cast("string").alias("load_id")]), F.inline(F.array(*_pieces(df, columns))))
+    text, number = _read(df, columns)
+    names = F.array(*[F.lit(c) for c in columns])
     return (
-        df.select(load.cast("string").alias("load_id"), F.explode(F.array(*_pieces(df, columns))).alias("p"))
-        .groupBy("load_id", "p.column_name", "p.value", "p.number").agg(F.count("*").alias("n"))
-        .select(F.lit(table_name).alias("table_name"), "load_id", "column_name", "value", "number", "n")
+        cells.groupBy(*of_load, "c", "cell").agg(F.count("*").alias("n"))
+        .select(F.lit(table_name).alias("table_name"), *of_load, F.get(names, F.col("c")).alias("column_name"), text.alias("value"), number.alias("number"), "n")
     )
 
 
 def form_of(value: Column) -> Column:
     """The form of a text: digits 9, letters a, runs collapsed."""
     shape = F.regexp_replace(F.regexp_replace(value, r"\p{L}+", "a"), r"[0-9]+", "9")
-    return F.substring(F.regexp_replace(shape, r"\s+", " "), 1, 40)
+    return F.regexp_replace(shape, r"\s+", " ")
 
 
 def column_profile(counts: DataFrame) -> DataFrame:
     """One row per table and column, over all loads, from ``value_counts``.
 
     An empty table gives no rows; an all-null column has null range and form.
-    Ties between forms go to the smaller form.
+    Ties between forms go to the smaller form. ``n_off_form`` counts the values
+    that break the pattern most values of the column have, ``off_form_share``
+    is their share of the values given.
     """
     keys = ["table_name", "column_name"]
-    values = counts.groupBy(*keys, "value", "number").agg(F.sum("n").alias("n"))
+    values = counts.groupBy(*keys, "value", "number").agg(F.sum("n").alias("n")) if "load_id" in counts.columns else counts
     forms = (
         values.where("value is not null").groupBy(*keys, form_of(F.col("value")).alias("form")).agg(F.sum("n").alias("n"))
         .groupBy(*keys).agg(F.max_by("form", F.struct("n", F.col("form"))).alias("main_form"), F.count("*").alias("n_forms"), F.max("n").alias("n_main_form"))
     )
+    given = F.col("n_rows") - F.col("n_null")
     return (
         values.groupBy(*keys).agg(
             F.sum("n").alias("n_rows"),
@@ -63,7 +86,8 @@ def column_profile(counts: DataFrame) -> DataFrame:
             F.min("number").alias("min_number"), F.max("number").alias("max_number"),
         )
         .join(forms, keys, "left")
-        .withColumn("null_share", F.col("n_null") / F.col("n_rows"))
+        .withColumns({"null_share": F.col("n_null") / F.col("n_rows"), "n_off_form": given - F.coalesce("n_main_form", F.lit(0))})
+        .withColumn("off_form_share", F.when(given > 0, F.col("n_off_form") / given))
     )
 
 
@@ -73,31 +97,32 @@ def population_stability(counts: DataFrame, floor: float = 1e-4) -> DataFrame:
     Both run over all values of the table (null is one), those the load lacks
     too; in the index a share below ``floor`` counts as ``floor``.
     A load that is the only one of its table has null figures.
+
+    The counts cross one more shuffle, by value, which brings a value's loads
+    together for its total; all else is of the size of loads and columns.
     """
     keys = ["table_name", "column_name"]
-    value = F.coalesce(F.concat(F.lit("="), F.col("value")), F.lit(""))
     load = F.coalesce(F.concat(F.lit("="), F.col("load_id")), F.lit(""))
-    per_load = counts.groupBy(*keys, load.alias("load"), value.alias("v")).agg(F.sum("n").alias("n"))
-    loads = per_load.groupBy(*keys, "load").agg(F.sum("n").alias("n_load"))
-    totals = per_load.groupBy(*keys, "v").agg(F.sum("n").alias("n_all"))
-    tables = totals.groupBy(*keys).agg(F.sum("n_all").alias("n_table"))
+    value = Window.partitionBy(*keys, "v")
+    held = (
+        counts.select(*keys, load.alias("load"), F.coalesce(F.concat(F.lit("="), F.col("value")), F.lit("")).alias("v"), "n")
+        .withColumns({"n_all": F.sum("n").over(value), "first": F.row_number().over(value.orderBy("load")) == 1}).drop("v")
+    )
+    loads = materialise(counts.groupBy(*keys, load.alias("load")).agg(F.sum("n").alias("n_load")))
+    sizes = materialise(loads.join(loads.groupBy(*keys).agg(F.sum("n_load").alias("n_table")), keys))
     rest = F.col("n_table") - F.col("n_load")
     # a value a load lacks adds a term in its total alone: the terms of all values, by how many have a total, less those of the held ones
     q_lacked = F.greatest(F.col("n_all") / rest, F.lit(floor))
     lacked = (F.lit(floor) - q_lacked) * F.log(F.lit(floor) / q_lacked)
-    alike = totals.groupBy(*keys, "n_all").agg(F.count("*").alias("n_values"))
-    whole = (
-        loads.join(tables, keys).where(rest > 0).join(alike, keys)
-        .groupBy(*keys, "load").agg(F.sum(F.col("n_values") * lacked).alias("psi_if_lacked"))
-    )
-    held = per_load.join(totals, [*keys, "v"]).join(loads, [*keys, "load"]).join(tables, keys)
+    alike = held.where("first").groupBy(*keys, "n_all").agg(F.count("*").alias("n_values"))
+    whole = sizes.where(rest > 0).join(alike, keys).groupBy(*keys, "load").agg(F.sum(F.col("n_values") * lacked).alias("psi_if_lacked"))
     p = F.greatest(F.col("n") / F.col("n_load"), F.lit(floor))
     q = F.greatest((F.col("n_all") - F.col("n")) / rest, F.lit(floor))
     expected = F.col("n_all") * F.col("n_load") / F.col("n_table")
     expected_rest = F.col("n_all") * rest / F.col("n_table")
     chi = (F.col("n") - expected) ** 2 / expected + (F.col("n_all") - F.col("n") - expected_rest) ** 2 / expected_rest
     return (
-        held.where(rest > 0).groupBy(*keys, "load")
+        join_counted(held, sizes, [*keys, "load"]).where(rest > 0).groupBy(*keys, "load")
         .agg(F.sum((p - q) * F.log(p / q) - lacked).alias("psi"), F.sum(chi).alias("chi_square"), F.first("n_load").alias("n_load"), F.sum("n_all").alias("n_held"), F.first("n_table").alias("n_table"))
         .join(whole, [*keys, "load"])
         .withColumn("psi", F.col("psi") + F.col("psi_if_lacked"))

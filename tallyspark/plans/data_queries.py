@@ -63,44 +63,30 @@ def _load_of(df: DataFrame) -> tuple[Column, tuple[str, ...]]:
     return F.date_format("loaded_at", "yyyy-MM"), ()
 
 
-def _all_counts(spark: SparkSession, sf_dir: str, load_columns: bool) -> DataFrame:
-    """The value counts of all columns of the domain tables; load_columns: those that name the load too."""
-    counts = []
-    for name in DOMAIN_TABLES:
-        df = table(spark, sf_dir, name)
-        load, own = _load_of(df)
-        counts.append(profile.value_counts(df, name, [c for c in df.columns if load_columns or c not in own], load))
-    return reduce(DataFrame.unionByName, counts)
-
-
-def _profile_counts(spark: SparkSession, sf_dir: str, every_column: bool) -> DataFrame:
-    counts = []
-    for name in ("games", "standings"):
-        df = table(spark, sf_dir, name)
-        columns = [c for c in df.columns if c != "load_id"] if every_column else [c for t, c in PROFILE_RANGES if t == name]
-        counts.append(profile.value_counts(df, name, columns, F.col("load_id")))
-    return counts[0].unionByName(counts[1])
-
-
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.failed_loads(_profile_counts(spark, sf_dir, every_column=False), PROFILE_RANGES)
+    counts = []
+    for name in dict.fromkeys(t for t, _ in PROFILE_RANGES):
+        counts.append(profile.value_counts(table(spark, sf_dir, name), name, [c for t, c in PROFILE_RANGES if t == name], F.col("load_id")))
+    return profile.failed_loads(reduce(DataFrame.unionByName, counts), PROFILE_RANGES)
 
 
 def p4_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _profiled(_profile_counts(spark, sf_dir, every_column=True))
-
-
-def p4_profile_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """p4_profile for all eight domain tables, load_id and feed included."""
-    return _profiled(_all_counts(spark, sf_dir, load_columns=True))
-
-
-def _profiled(counts: DataFrame) -> DataFrame:
-    return profile.column_profile(counts).select("table_name", "column_name", "n_rows", "n_null", "n_distinct", "min_number", "max_number", "main_form", "n_forms", "n_main_form", F.round("null_share", 6).alias("null_share"))
+    """Every column of the eight domain tables."""
+    tables = {t: table(spark, sf_dir, t) for t in DOMAIN_TABLES}
+    counts = reduce(DataFrame.unionByName, [profile.value_counts(df, t, df.columns) for t, df in tables.items()])
+    shown = ["table_name", "column_name", "n_rows", "n_null", "n_distinct", "min_number", "max_number", "main_form", "n_forms", "n_main_form", "n_off_form"]
+    return profile.column_profile(counts).select(*shown, F.round("null_share", 6).alias("null_share"), F.round("off_form_share", 6).alias("off_form_share"))
 
 
 def p4_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.population_stability(_all_counts(spark, sf_dir, load_columns=False)).select("table_name", "column_name", "load_id", "n_load", F.round("psi", 6).alias("psi"), F.round("chi_square", 3).alias("chi_square"))
+    """The change of every column of the domain tables between loads; the columns that name the load are left out."""
+    counts = []
+    for name in DOMAIN_TABLES:
+        df = table(spark, sf_dir, name)
+        load, own = _load_of(df)
+        counts.append(profile.value_counts(df, name, [c for c in df.columns if c not in own], load))
+    changed = profile.population_stability(reduce(DataFrame.unionByName, counts))
+    return changed.select("table_name", "column_name", "load_id", "n_load", F.round("psi", 6).alias("psi"), F.round("chi_square", 3).alias("chi_square"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -116,7 +102,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_failed_casts": p3_failed_casts,
     "p4_found": p4_found,
     "p4_profile": p4_profile,
-    "p4_profile_all": p4_profile_all,
     "p4_change": p4_change,
 }
 
@@ -201,33 +186,82 @@ def _p2_valid_sql() -> str:
     return f"select line_id, {', '.join(typed)} from ({raw})"
 
 
-# The columns of the profiled tables by how their numbers are read.
+# The statistics that both tables of players have, and those of seasons alone.
+_GAME_NUMBERS = """passing_attempts passing_completions passing_yards pass_tds passing_interceptions rushing_carries rushing_yards receiving_catches receiving_yards
+receiving_tds tackles tackle_assists tackles_combined sacks interceptions fg_made fg_attempts total_points"""
+_SEASON_NUMBERS = """passing_long completion_pct passing_average passer_rating tackles_for_loss forced_fumbles fumble_recoveries passes_deflected blocked_kicks kickoff_returns
+kickoff_return_yards kickoff_return_tds punt_returns punt_return_yards punt_return_tds interception_return_yards interception_return_tds fumble_recovery_yards
+fumble_recovery_tds pat_made pat_attempts punts punt_yards tds two_point_conversions safety"""
+
+# The columns of the domain tables by how their numbers are read, and what counts as the load of a row.
 _PROFILED = {
-    "games": {"number": "season week visitor_score home_score", "date": "date", "timestamp": "loaded_at deleted_at", "text": "league game_id season_type visitor_team_name home_team_name"},
-    "standings": {"number": "season wins losses ties win_pct points_for points_against", "timestamp": "loaded_at", "text": "league tier conference division region team_name team_logo home_record away_record conference_record division_record nonconference_record nondivision_record streak"},
-}
+    "teams": {"number": "season", "timestamp": "loaded_at deleted_at", "text": "league team_id team_number team_city team_name tier conference division region"},
+    "players": {"timestamp": "loaded_at deleted_at", "text": "player_id player_name height weight school hometown"},
+    "rosters": {"number": "season", "timestamp": "loaded_at", "text": "league team_id team_name player_id roster_number position"},
+    "games": {"number": "season week visitor_score home_score", "date": "date", "timestamp": "loaded_at deleted_at", "text": "league game_id season_type visitor_team_name home_team_name load_id"},
+    "player_game_stats": {
+        "number": f"row_id season week {_GAME_NUMBERS}", "date": "date", "timestamp": "loaded_at",
+        "text": "league game_id team_id team_name opponent_id opponent_name home_away source_player_id player_name roster_number player_id feed",
+    },
+    "player_season_stats": {"number": f"row_id season {_GAME_NUMBERS} {_SEASON_NUMBERS}", "timestamp": "loaded_at", "text": "league player_id team_id player_name team_city team_name"},
+    "team_season_stats": {"number": f"row_id season {_GAME_NUMBERS}", "timestamp": "loaded_at", "text": "team_name team_city league team_id team_logo team_number"},
+    "standings": {
+        "number": "season wins losses ties win_pct points_for points_against", "timestamp": "loaded_at",
+        "text": "league tier conference division region team_name team_logo home_record away_record conference_record division_record nonconference_record nondivision_record streak load_id",
+    },
+}
+_LOADS = {"games": "load_id", "standings": "load_id", "player_game_stats": "feed"}
 _READ = {
     "number": ("cast({c} as varchar)", "cast({c} as double)"),
     "date": ("cast({c} as varchar)", "cast(epoch_us(cast({c} as timestamp)) as double)"),
     "timestamp": ("cast({c} at time zone 'UTC' as varchar)", "cast(epoch_us({c}) as double)"),
     "text": ("{c}", "cast(null as double)"),
 }
-_CELLS = " union all ".join(
-    f"select '{t}' as table_name, load_id, '{c}' as column_name, {_READ[kind][0].format(c=c)} as value, {_READ[kind][1].format(c=c)} as number from {t}"
-    for t, kinds in _PROFILED.items() for kind, columns in kinds.items() for c in columns.split()
-)
+
+
+def _cells(table_name: str) -> str:
+    """One scan of a table, its columns unpivoted to (load_id, column_name, value, number)."""
+    load = _LOADS.get(table_name, "strftime(loaded_at at time zone 'UTC', '%Y-%m')")
+    pieces = ", ".join(f"{{'column_name': '{c}', 'value': {_READ[kind][0].format(c=c)}, 'number': {_READ[kind][1].format(c=c)}}}" for kind, columns in _PROFILED[table_name].items() for c in columns.split())
+    return f"select '{table_name}' as table_name, load_id, p.column_name, p.value, p.number from (select {load} as load_id, unnest([{pieces}]) as p from {table_name})"
+
+
+_CELLS = " union all ".join(_cells(t) for t in _PROFILED)
 P4_PROFILE_SQL = rf"""
 with v as ({_CELLS}),
-f as (select table_name, column_name, substr(regexp_replace(regexp_replace(regexp_replace(value, '\p{{L}}+', 'a', 'g'), '[0-9]+', '9', 'g'), '\s+', ' ', 'g'), 1, 40) as form, count(*) as n from v where value is not null group by all),
-m as (select table_name, column_name, arg_max(form, (n, form)) as main_form, count(*) as n_forms, max(n) as n_main_form from f group by all)
-select v.table_name, v.column_name, count(*) as n_rows, count(*) - count(value) as n_null, count(distinct value) as n_distinct, min(number) as min_number, max(number) as max_number,
-  any_value(main_form) as main_form, any_value(n_forms) as n_forms, cast(any_value(n_main_form) as bigint) as n_main_form, round((count(*) - count(value)) / count(*), 6) as null_share
-from v left join m on v.table_name = m.table_name and v.column_name = m.column_name group by v.table_name, v.column_name
+f as (
+  select table_name, column_name, regexp_replace(regexp_replace(regexp_replace(value, '\p{{L}}+', 'a', 'g'), '[0-9]+', '9', 'g'), '\s+', ' ', 'g') as form, count(*) as n
+  from v where value is not null group by all),
+m as (select table_name, column_name, arg_max(form, (n, form)) as main_form, count(*) as n_forms, cast(max(n) as bigint) as n_main_form from f group by all),
+c as (
+  select table_name, column_name, count(*) as n_rows, count(*) - count(value) as n_null, count(distinct value) as n_distinct, min(number) as min_number, max(number) as max_number
+  from v group by all)
+select c.*, main_form, n_forms, n_main_form, n_rows - n_null - coalesce(n_main_form, 0) as n_off_form, round(n_null / n_rows, 6) as null_share,
+  case when n_rows > n_null then round((n_rows - n_null - coalesce(n_main_form, 0)) / (n_rows - n_null), 6) end as off_form_share
+from c left join m using (table_name, column_name)
+"""
+
+# the index and chi-square of each load, value by value: every value of a column beside every load of it
+P4_CHANGE_SQL = f"""
+with v as ({_CELLS}),
+own as (select table_name, column_name, coalesce('=' || load_id, '') as load, coalesce('=' || value, '') as v, count(*) as n from v
+  where not ((table_name in ('games', 'standings') and column_name = 'load_id') or (table_name = 'player_game_stats' and column_name = 'feed')) group by all),
+loads as (select table_name, column_name, load, sum(n) as n_load from own group by all),
+totals as (select table_name, column_name, v, sum(n) as n_all from own group by all),
+sizes as (select table_name, column_name, sum(n_all) as n_table from totals group by all),
+g as (
+  select l.table_name, l.column_name, l.load, n_load, cast(n_all as double) as a, coalesce(n, 0) as n, n_table, n_table - n_load as rest
+  from loads l join sizes using (table_name, column_name) join totals t using (table_name, column_name) left join own o using (table_name, column_name, load, v) where n_table > n_load),
+s as (select *, greatest(n / n_load, 1e-4) as p, greatest((a - n) / rest, 1e-4) as q, a * n_load / n_table as e, a * rest / n_table as er from g)
+select table_name, column_name, case when load <> '' then substr(load, 2) end as load_id, cast(any_value(n_load) as bigint) as n_load, round(sum((p - q) * ln(p / q)), 6) as psi,
+  round(sum((n - e) * (n - e) / e + (a - n - er) * (a - n - er) / er), 3) as chi_square
+from s group by table_name, column_name, load
 """
 
 SQL: dict[str, str] = {
     "p2_valid": _p2_valid_sql(),
     "p4_profile": P4_PROFILE_SQL,
+    "p4_change": P4_CHANGE_SQL,
     "p1_found": P1_SQL,
     "p1_report": f"select table_name, season, cast(count(*) as bigint) as n_orphans from ({P1_SQL}) group by all",
     "p2_found": _p2_sql("line_id", "not {valid}"),

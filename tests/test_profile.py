@@ -73,7 +73,7 @@ def test_all_domain_tables_are_profiled(spark):
 
     d = "/root/testdata/sf0.001"
     tables = {t: table(spark, d, t) for t in ("teams", "players", "rosters", "games", "player_game_stats", "player_season_stats", "team_season_stats", "standings")}
-    got = {(r["table_name"], r["column_name"]): r for r in Q.QUERIES["p4_profile_all"](spark, d).collect()}
+    got = {(r["table_name"], r["column_name"]): r for r in Q.QUERIES["p4_profile"](spark, d).collect()}
     assert set(got) == {(t, c) for t, df in tables.items() for c in df.columns}
     yards = [r[0] for r in tables["player_game_stats"].select("rushing_yards").collect()]
     row, given = got["player_game_stats", "rushing_yards"], [y for y in yards if y is not None]
