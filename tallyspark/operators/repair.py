@@ -20,22 +20,21 @@ from pyspark.sql import types as T
 from ..session import ship
 
 # a JSON string, closed or running to the end of the text
-_STRING = re.compile(r'"(?:[^"\\]|\\.)*(?:"|\\?$)', re.S)
-_CONTROL = re.compile(r"[\x00-\x1f]")
+_STRING = re.compile(r'"(?:[^"\\]|\\.)*(?:"|\\?\Z)', re.S)
+_PAIR_OR_CONTROL = re.compile(r"\\.|[\x00-\x1f]", re.S)
 _NAMED = {"\t": r"\t", "\n": r"\n", "\r": r"\r", "\b": r"\b", "\f": r"\f"}
 _CLOSER = {"{": "}", "[": "]"}
 NEAR_END = 12
 
 
 def escape_controls(text: str) -> str:
-    """Control characters inside double-quoted strings written as escapes."""
+    """Control characters inside double-quoted strings written as escapes; what follows a backslash stays as it is."""
 
-    def inside(match: re.Match) -> str:
-        body = re.sub(r"\\.", lambda m: m[0].replace("\n", "\x00n"), match[0], flags=re.S) if "\\" in match[0] else match[0]
-        out = _CONTROL.sub(lambda c: c[0] if c[0] == "\x00" else _NAMED.get(c[0], f"\\u{ord(c[0]):04x}"), body)
-        return out.replace("\x00n", "\n").replace("\x00", "\\u0000")
+    def written(part: re.Match) -> str:
+        c = part[0]
+        return c if len(c) > 1 else _NAMED.get(c, f"\\u{ord(c):04x}")
 
-    return _STRING.sub(inside, text)
+    return _STRING.sub(lambda quoted: _PAIR_OR_CONTROL.sub(written, quoted[0]), text)
 
 
 def drop_trailing_commas(text: str) -> str:
