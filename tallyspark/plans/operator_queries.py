@@ -11,7 +11,7 @@ from ..functions.documents import flatten_documents
 from ..functions.people import first_initial, normalised_name, surname
 from ..functions.stats import guarded_ratio, passer_rating
 from ..functions.text import blank_to_null, id_key, name_key, preview, valued
-from ..operators import audit, quality, relational
+from ..operators import audit, relational
 from ..operators.repair import classify_response, recover_texts, recoverable
 from ..session import materialise
 from ..sources.tables import table
@@ -301,37 +301,6 @@ def json_repair(spark, d):
     return fixed.select("row_id", F.when(same, F.col("payload")).alias("original"), "category", "success")
 
 
-def _dup(t: str, keys: str, level: str, where: str = "true") -> str:
-    return f"select '{level}' as level, '{t}' as table_name, 'unique' as check_name, '{keys}' as message, count(*) as count from (select 1 from {t} where {where} group by {keys} having count(*) > 1) having count(*) > 0"
-
-
-@_query(" union all ".join([
-    _dup("players", "player_id", "ERROR"),
-    *(f"select 'ERROR', 'players', 'not_null', '{c}', count(*) from players where {c} is null having count(*) > 0" for c in ("player_id", "player_name")),
-    _dup("teams", "league, season, team_id", "ERROR"),
-    *(f"select 'ERROR', 'teams', 'not_null', '{c}', count(*) from teams where {c} is null having count(*) > 0" for c in ("league", "season", "team_id", "team_name")),
-    "select 'ERROR', 'standings', 'range', 'win_pct', count(*) from standings where win_pct < 0 or win_pct > 1 having count(*) > 0",
-    *(f"select 'WARNING', 'standings', 'non_negative', '{c}', count(*) from standings where {c} < 0 having count(*) > 0" for c in ("wins", "losses", "ties", "points_for", "points_against", "win_pct")),
-    _dup("team_season_stats", "league, season, team_id", "WARNING", "team_id is not null"),
-    "select 'WARNING', 'team_season_stats', 'rows', 'unresolved_team', count(*) from team_season_stats where team_id is null having count(*) > 0",
-    "select 'WARNING', 'team_season_stats', 'non_negative', 'total_points', count(*) from team_season_stats where total_points < 0 having count(*) > 0",
-    "select 'ERROR', 'team_season_stats', 'foreign_key', 'league, season, team_id -> teams', count(*) from (select distinct league, season, team_id from team_season_stats c where league is not null and season is not null and team_id is not null and not exists (select 1 from teams p where p.league = c.league and p.season = c.season and p.team_id = c.team_id)) having count(*) > 0",
-]))
-def quality_findings(spark, d):
-    return quality.check_all({t: table(spark, d, t) for t in ("players", "teams", "standings", "team_season_stats")})
-
-
-@_query()
-def quality_findings_all(spark, d):
-    names = ("teams", "players", "rosters", "games", "player_game_stats", "player_season_stats", "team_season_stats", "standings")
-    return quality.in_order(quality.check_all({t: table(spark, d, t) for t in names}))
-
-
-@_query("select 'ERROR' as level, 'orders' as table_name, 'accepted_values' as check_name, 'o_orderstatus' as message, count(*) as count from orders where o_orderstatus not in ('F', 'O') having count(*) > 0")
-def accepted_values(spark, d):
-    return quality.check_table("orders", table(spark, d, "orders"), quality.Rules(accepted={"o_orderstatus": ("F", "O")}), required=[])
-
-
 def _dirty_lines(spark, d):
     lines = table(spark, d, "player_game_stats").select("row_id", "league", "season", *[valued(c).alias(c) for c in ("team_id", "source_player_id", "player_name", "player_id")])
     return lines.where("player_id is null"), lines.where("player_id is not null")
