@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,8 +11,9 @@ from pyspark.sql import functions as F
 from ..functions.text import preview
 from ..operators.relational import reconcile
 from ..operators.repair import RECOVERABLE, classify_response, reason_level, recover_texts, recoverable
-from ..session import materialise
-from ..sources.landing import read_invalid
+from ..session import materialise, ship
+from ..sources import files
+from ..sources.landing import read_invalid, write_csv
 
 REPORT = ("source_file", "recovered_file", "league", "season", "endpoint", "resource_id", "category", "success", "recovery_rule", "parse_error", "source_size_bytes", "output_size_bytes")
 
@@ -44,20 +44,15 @@ def recover_invalid(invalid: DataFrame, root: str) -> DataFrame:
                 path, size = None, None
                 if r["success"]:
                     path = "recovered/" + r["relative"].removesuffix(".invalid.txt") + ".json"
-                    target = os.path.join(root, path)
-                    os.makedirs(os.path.dirname(target), exist_ok=True)
-                    scratch = f"{target}.{os.getpid()}.tmp"
-                    with open(scratch, "w", encoding="utf-8") as out:
-                        out.write(r["recovered"])
-                    with open(scratch, encoding="utf-8") as back:
-                        if back.read() != r["recovered"]:
-                            r |= {"success": False, "parse_error": "what was written reads back otherwise"}
-                    os.replace(scratch, target)
-                    size = os.path.getsize(target)
+                    files.write_text(r["recovered"], f"{root}/{path}")
+                    if files.read_text(f"{root}/{path}") != r["recovered"]:
+                        r |= {"success": False, "parse_error": "what was written reads back otherwise"}
+                    size = files.size(f"{root}/{path}")
                 rows.append({"source_file": "raw/" + r["relative"], "recovered_file": path, "output_size_bytes": size, "source_size_bytes": r["size_bytes"], **{k: r[k] for k in REPORT if k in r and k not in ("source_file", "recovered_file", "source_size_bytes", "output_size_bytes")}})
             kinds = {"season": pa.int64(), "success": pa.bool_(), "source_size_bytes": pa.int64(), "output_size_bytes": pa.int64()}
             yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([(c, kinds.get(c, pa.string())) for c in REPORT]))
 
+    ship(invalid.sparkSession)
     repaired = recover_texts(invalid.select("relative", "text", "league", "season", "endpoint", "resource_id", "size_bytes"), "text", "endpoint").drop("text")
     kinds = {"season": "long", "success": "boolean", "source_size_bytes": "long", "output_size_bytes": "long"}
     # written once: a report that is read twice must not write the documents twice
@@ -70,7 +65,17 @@ def recover_all(spark: SparkSession, root: str) -> DataFrame:
 
 def write_report(report: DataFrame, path: str) -> None:
     """As CSV by RFC 4180: quotes doubled, nulls empty, booleans in lower case."""
-    report.select(*[F.col(c).cast("string") for c in REPORT]).coalesce(1).write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path)
+    write_csv(report.select(*REPORT), path)
+
+
+def rule_histogram(report: DataFrame) -> DataFrame:
+    """(category, recovery_rule, count) of what succeeded, the most frequent first; a rule is the steps that led to it."""
+    return report.where("success").groupBy("category", "recovery_rule").agg(F.count("*").alias("count")).orderBy(F.desc("count"), "category", "recovery_rule")
+
+
+def first_failures(report: DataFrame, n: int = 20) -> DataFrame:
+    """(source_file, category, parse_error) of the first ``n`` tried and failed, by path: a report for people, which the limit is part of."""
+    return report.where("not success").orderBy("source_file").limit(n).select("source_file", "category", "parse_error")
 
 
 def reconciliation(invalid_audit: DataFrame, report: DataFrame) -> DataFrame:

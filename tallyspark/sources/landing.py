@@ -74,3 +74,16 @@ def load_recovery_report(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).csv(path)
     kinds = dict((c.strip().split()[0], c.strip().split()[1]) for c in TYPED.split(","))
     return raw.select(*[F.lower(F.col(c)).isin("true", "1", "yes").alias(c) if c == "success" else valued(c).try_cast("bigint" if kinds[c] == "long" else kinds[c]).alias(c) for c in names])
+
+
+def write_csv(df: DataFrame, path: str, single: bool = True, skip_empty: bool = False) -> bool:
+    """A CSV folder with a header, by RFC 4180: quotes doubled, nulls empty, booleans in lower case; whether it was written.
+
+    ``single``: one file, for reports of people's size; tables of any size are
+    written as they are partitioned. ``skip_empty`` writes nothing of a frame without rows.
+    """
+    if skip_empty and df.isEmpty():
+        return False
+    texts = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    (texts.coalesce(1) if single else texts).write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path)
+    return True

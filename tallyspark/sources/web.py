@@ -1,24 +1,31 @@
 """A Spark data source over a league's web service, and the landing of its responses.
 
-Each request is one partition, so requests spread over executors; the pace is
-per request. Use: spark.dataSource.register(LeagueService), then
+Requests are dealt to lanes, one partition each, and a lane asks for one after the
+other with a pause between: the service sees at most lanes / delay requests a
+second. One lane is the default. Use: spark.dataSource.register(LeagueService), then
 spark.read.format("league_service").option("url", ...).option("requests", ...).load().
 """
 
 from __future__ import annotations
 
 import json
-import os
+import sys
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..session import materialise, ship
+
+# the data source is planned by a worker of its own, which is sent no package, so what it needs of this module travels by value
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The calls of the service, by the endpoint their documents are landed under, and what names their resource.
 CALLS = {
     "teams": ("getleagueTeamsList", None), "schedule": ("getcurrentSeasonSchedule", None), "standings": ("getLeagueStandings", None), "rosters": ("getTeamRoster", "team"),
@@ -63,27 +70,28 @@ class _Reader(DataSourceReader):
         self.url = options["url"]
         self.timeout, self.delay = float(options.get("timeout", 30)), float(options.get("delay", 0.25))
         self.requests = json.loads(options["requests"])
+        self.lanes = max(1, int(options.get("lanes", 1)))
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(r) for r in self.requests]
+        return [InputPartition(self.requests[n :: self.lanes]) for n in range(min(self.lanes, len(self.requests)))]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        r = partition.value
-        head = (r["endpoint"], r["league"], int(r["season"]), r.get("resource_id"))
-        try:
-            text = fetch(self.url, query_of(r), self.timeout, self.delay)
-        except Exception as e:  # a request that fails is a row with its error: the others go on
-            yield (*head, None, False, str(e))
-            return
-        try:
-            json.loads(text)
-            yield (*head, text, True, None)
-        except ValueError as e:
-            yield (*head, text, False, str(e))
+        for r in partition.value:
+            head = (r["endpoint"], r["league"], int(r["season"]), r.get("resource_id"))
+            try:
+                text = fetch(self.url, query_of(r), self.timeout, self.delay)
+            except Exception as e:  # a request that fails is a row with its error: the others go on
+                yield (*head, None, False, str(e))
+                continue
+            try:
+                json.loads(text)
+                yield (*head, text, True, None)
+            except ValueError as e:
+                yield (*head, text, False, str(e))
 
 
 class LeagueService(DataSource):
-    """Options: url, requests (a JSON list), timeout and delay in seconds."""
+    """Options: url, requests (a JSON list), timeout and delay in seconds, lanes."""
 
     @classmethod
     def name(cls) -> str:
@@ -112,45 +120,62 @@ def landed_path(endpoint: str, league: str, season: int, resource: str | None, v
     return f"{league}/{season}/{endpoint}/{resource}.{end}" if resource else f"{league}/{season}/{endpoint}.{end}"
 
 
+LANDED = "endpoint string, league string, season long, resource_id string, valid boolean, error string, path string, named array<string>"
+
+
+def next_resources(endpoint: str, text: str) -> list[str]:
+    """The ids a document names that further requests are made of: teams of the league, games of the schedule, players of a roster."""
+    from ..functions.documents import ids_of, values_of
+
+    if endpoint == "teams":
+        return list(dict.fromkeys(str(i) for i in values_of(json.loads(text), "id") if i not in (None, "")))
+    pattern = {"schedule": "game", "rosters": "player"}.get(endpoint)
+    return ids_of(json.loads(text), pattern) if pattern else []
+
+
 def land(responses: DataFrame, raw: str) -> DataFrame:
-    """Writes each response below ``raw``, a folder all executors share; (endpoint, league, season, resource_id, valid, path, error) of all, path null where the request failed."""
+    """Writes each response below ``raw``, a folder or URI that all executors reach; one row of LANDED for each, path null where the request failed.
+
+    The rows are written once to the shared folder, so reading them again asks
+    and writes nothing anew.
+    """
 
     def run(batches):
         import pyarrow as pa
 
+        from . import files
+
         for batch in batches:
-            paths = []
+            paths, named = [], []
             for r in batch.to_pylist():
                 path = None
                 if r["text"] is not None:
-                    path = os.path.join(raw, landed_path(r["endpoint"], r["league"], r["season"], r["resource_id"], r["valid"]))
-                    os.makedirs(os.path.dirname(path), exist_ok=True)
-                    scratch = f"{path}.{os.getpid()}.tmp"
-                    with open(scratch, "w", encoding="utf-8") as out:
-                        out.write(json.dumps(json.loads(r["text"]), indent=2, ensure_ascii=False) if r["valid"] else r["text"])
-                    os.replace(scratch, path)
+                    path = f"{raw.rstrip('/')}/{landed_path(r['endpoint'], r['league'], r['season'], r['resource_id'], r['valid'])}"
+                    files.write_text(json.dumps(json.loads(r["text"]), indent=2, ensure_ascii=False) if r["valid"] else r["text"], path)
                 paths.append(path)
+                named.append(next_resources(r["endpoint"], r["text"]) if r["valid"] else [])
             kept = batch.select(["endpoint", "league", "season", "resource_id", "valid", "error"])
-            yield kept.append_column("path", pa.array(paths, pa.string()))
+            yield kept.append_column("path", pa.array(paths, pa.string())).append_column("named", pa.array(named, pa.list_(pa.string())))
 
-    return responses.mapInArrow(run, "endpoint string, league string, season long, resource_id string, valid boolean, error string, path string")
+    ship(responses.sparkSession)
+    return materialise(responses.mapInArrow(run, LANDED))
 
 
 def extract_season(spark: SparkSession, url: str, raw: str, league: str, season: int, **options: object) -> DataFrame:
-    """Lands all documents of a league's season: the league's own first, then those of the teams, games and players they name."""
-    from ..functions.documents import ids_of, values_of
+    """Lands all documents of a league's season: the league's own first, then those of the teams, games and players they name.
+
+    Bodies are fetched and landed by the workers; what comes to the driver are
+    the ids one season's documents name.
+    """
+
+    def fetched(requests: list[dict]) -> DataFrame:
+        return land(read_requests(spark, url, [{"league": league, "season": season, **r} for r in requests], **options), raw)
+
+    def named(landed: DataFrame, endpoint: str) -> list[str]:
+        ids = landed.where(F.col("endpoint") == endpoint).select(F.explode("named").alias("id")).distinct().orderBy("id")
+        return [r["id"] for r in ids.toLocalIterator()]
 
-    def fetch_all(requests: list[dict]) -> tuple[DataFrame, list[tuple[str, object]]]:
-        # what comes to the driver are the documents that name the next requests, one season's at a time
-        got = read_requests(spark, url, [{"league": league, "season": season, **r} for r in requests], **options).collect()
-        frame = spark.createDataFrame(got, SCHEMA)
-        return land(frame, raw), [(r["endpoint"], json.loads(r["text"])) for r in got if r["valid"]]
-
-    own = [e for e, (_, resource) in CALLS.items() if resource is None]
-    first, documents = fetch_all([{"endpoint": e} for e in own])
-    teams = dict.fromkeys(str(i) for e, d in documents if e == "teams" for i in values_of(d, "id") if i not in (None, ""))
-    games = dict.fromkeys(i for e, d in documents if e == "schedule" for i in ids_of(d, "game"))
-    second, rosters = fetch_all([{"endpoint": "rosters", "resource_id": t} for t in teams] + [{"endpoint": "games", "resource_id": g} for g in games])
-    people = dict.fromkeys(i for e, d in rosters if e == "rosters" for i in ids_of(d, "player"))
-    third, _ = fetch_all([{"endpoint": e, "resource_id": p} for p in people for e in ("info", "player_stats")])
-    return first.unionByName(second).unionByName(third).select("endpoint", "league", "season", "resource_id", "valid", "path", F.col("error"))
+    first = fetched([{"endpoint": e} for e, (_, resource) in CALLS.items() if resource is None])
+    second = fetched([{"endpoint": "rosters", "resource_id": t} for t in named(first, "teams")] + [{"endpoint": "games", "resource_id": g} for g in named(first, "schedule")])
+    third = fetched([{"endpoint": e, "resource_id": p} for p in named(second, "rosters") for e in ("info", "player_stats")])
+    return first.unionByName(second).unionByName(third).drop("named").select("endpoint", "league", "season", "resource_id", "valid", "path", "error")
