@@ -56,6 +56,12 @@ def value_counts(df: DataFrame, table_name: str, columns: list[str], load: Colum
     )
 
 
+def load_sizes(df: DataFrame, table_name: str, columns: list[str], load: Column) -> DataFrame:
+    """(table_name, load_id, column_name, n): the rows of each load, once for each column."""
+    rows = df.groupBy(load.cast("string").alias("load_id")).agg(F.count("*").alias("n"))
+    return rows.select(F.lit(table_name).alias("table_name"), "load_id", F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name"), "n")
+
+
 def form_of(value: Column) -> Column:
     """The form of a text: digits 9, letters a, runs collapsed."""
     shape = F.regexp_replace(F.regexp_replace(value, r"\p{L}+", "a"), r"[0-9]+", "9")
@@ -91,30 +97,29 @@ def column_profile(counts: DataFrame) -> DataFrame:
     )
 
 
-def population_stability(counts: DataFrame, floor: float = 1e-4) -> DataFrame:
+def population_stability(counts: DataFrame, sizes: DataFrame | None = None, floor: float = 1e-4) -> DataFrame:
     """Population stability index and chi-square of each load against all other loads of the table.
 
     Both run over all values of the table (null is one), those the load lacks
     too; in the index a share below ``floor`` counts as ``floor``.
-    A load that is the only one of its table has null figures.
+    A load that is the only one of its table has null figures. ``sizes``, from
+    ``load_sizes``, spares telling the rows of each load from the counts, which
+    takes a second pass over them.
 
     The counts cross one more shuffle, by value, which brings a value's loads
     together for its total; all else is of the size of loads and columns.
     """
     keys = ["table_name", "column_name"]
     load = F.coalesce(F.concat(F.lit("="), F.col("load_id")), F.lit(""))
-    value = Window.partitionBy(*keys, "v")
-    held = (
-        counts.select(*keys, load.alias("load"), F.coalesce(F.concat(F.lit("="), F.col("value")), F.lit("")).alias("v"), "n")
-        .withColumns({"n_all": F.sum("n").over(value), "first": F.row_number().over(value.orderBy("load")) == 1}).drop("v")
-    )
-    loads = materialise(counts.groupBy(*keys, load.alias("load")).agg(F.sum("n").alias("n_load")))
+    by_value = counts.select(*keys, load.alias("load"), F.coalesce(F.concat(F.lit("="), F.col("value")), F.lit("")).alias("v"), "n").repartition(*keys, "v")
+    held = by_value.withColumn("n_all", F.sum("n").over(Window.partitionBy(*keys, "v"))).drop("v")
+    loads = materialise((counts if sizes is None else sizes).groupBy(*keys, load.alias("load")).agg(F.sum("n").alias("n_load")))
     sizes = materialise(loads.join(loads.groupBy(*keys).agg(F.sum("n_load").alias("n_table")), keys))
     rest = F.col("n_table") - F.col("n_load")
     # a value a load lacks adds a term in its total alone: the terms of all values, by how many have a total, less those of the held ones
     q_lacked = F.greatest(F.col("n_all") / rest, F.lit(floor))
     lacked = (F.lit(floor) - q_lacked) * F.log(F.lit(floor) / q_lacked)
-    alike = held.where("first").groupBy(*keys, "n_all").agg(F.count("*").alias("n_values"))
+    alike = by_value.groupBy(*keys, "v").agg(F.sum("n").alias("n_all")).groupBy(*keys, "n_all").agg(F.count("*").alias("n_values"))
     whole = sizes.where(rest > 0).join(alike, keys).groupBy(*keys, "load").agg(F.sum(F.col("n_values") * lacked).alias("psi_if_lacked"))
     p = F.greatest(F.col("n") / F.col("n_load"), F.lit(floor))
     q = F.greatest((F.col("n_all") - F.col("n")) / rest, F.lit(floor))

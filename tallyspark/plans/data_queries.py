@@ -80,12 +80,14 @@ def p4_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change of every column of the domain tables between loads; the columns that name the load are left out."""
-    counts = []
+    counts, sizes = [], []
     for name in DOMAIN_TABLES:
         df = table(spark, sf_dir, name)
         load, own = _load_of(df)
-        counts.append(profile.value_counts(df, name, [c for c in df.columns if c not in own], load))
-    changed = profile.population_stability(reduce(DataFrame.unionByName, counts))
+        columns = [c for c in df.columns if c not in own]
+        counts.append(profile.value_counts(df, name, columns, load))
+        sizes.append(profile.load_sizes(df, name, columns, load))
+    changed = profile.population_stability(reduce(DataFrame.unionByName, counts), reduce(DataFrame.unionByName, sizes))
     return changed.select("table_name", "column_name", "load_id", "n_load", F.round("psi", 6).alias("psi"), F.round("chi_square", 3).alias("chi_square"))
 
 
