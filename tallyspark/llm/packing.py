@@ -84,7 +84,8 @@ def pack_items(sizes: DataFrame, containers: list[tuple[str, int]], partitions:
             yield pa.RecordBatch.from_pylist(left, schema=_ITEM)
 
     part = F.pmod(F.xxhash64("doc_id"), F.lit(partitions)).cast("int")
-    placed = sizes.select("doc_id", "n_tokens", part.alias("part")).repartition(partitions, "part").sortWithinPartitions("part", "doc_id", "n_tokens")
+    # the part is the partition: a hash of it would put several into one task and none into others
+    placed = sizes.select("doc_id", "n_tokens", part.alias("part")).repartitionById(partitions, "part").sortWithinPartitions("part", "doc_id", "n_tokens")
     return placed.mapInArrow(run, ITEM)
 
 

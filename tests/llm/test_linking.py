@@ -219,3 +219,26 @@ def test_hot_towns_and_names_are_narrowed_alike(spark):
 def test_a_copy_keeps_the_links_of_its_representative(spark):
     rows = [player("P1", "Johnsonash", school=None), player("P2", "Johnsonash", school=None), player("P3", "Johnson Ash", weight="151", school=None)]
     assert found(spark, rows) == [("P1", "P2"), ("P1", "P3"), ("P2", "P3")]
+
+
+def test_spellings_of_persons(spark):
+    classes = spark.createDataFrame([("P1", "P1"), ("P2", "P1")], "person string, class_id string")
+    kinds = "player_id string, player_name string, n string"
+    players = spark.createDataFrame([("P1", "Ann Ash", "x"), ("P2", "ASH, Ann", "x"), ("P3", "Bea Birch", "x"), (None, "Ann Ash", "x"), ("PTEAM", "TEAM", "x"), ("P4", None, "x")], kinds)
+    lines = spark.createDataFrame([(" p1 ", "A. Ash", "x")] * 3 + [("p2", "Ann Ash", "x"), ("P1", "Zoe Zorn", "x"), ("P1", "NR", "x")], kinds)
+    got = {(r["person"], r["spelling"]): r for r in spellings.spellings_of_persons(classes, {"players": players, "lines": lines}).collect()}
+    assert set(got) == {("P1", "Ann Ash"), ("P1", "ASH, Ann"), ("P1", "A. Ash"), ("P1", "Zoe Zorn"), ("P3", "Bea Birch")}
+    assert {r["main_spelling"] for (p, _), r in got.items() if p == "P1"} == {"Ann Ash"}
+    assert (got["P1", "A. Ash"]["n_players"], got["P1", "A. Ash"]["n_lines"], got["P1", "Ann Ash"]["n_lines"]) == (0, 3, 1)
+    assert {k[1] for k, r in got.items() if not r["agrees"]} == {"Zoe Zorn"}
+    assert spellings.spellings_of_persons(classes.limit(0), {"players": players.limit(0)}).count() == 0
+
+
+def test_votes_decide_where_rank_does_not(spark):
+    """Three lines against the one of the most trusted feed: by rank the one, by votes the three; against a plain count."""
+    rows = [line(1, "good", 9, "A. Ash", "7", 9.0), line(2, "bad", 1, "Ann Ash", "17", 4.0), line(3, "bad", 2, "Ann Ash", "17", 4.0), line(4, "bad", 3, "Ann  Ash", "17", None)]
+    stats, trust = spark.createDataFrame(rows, STATS), spark.createDataFrame([("good", 1), ("bad", 2)], "feed string, trust_rank int")
+    ranked = {r["field_name"]: r["source_row_id"] for r in survivors.game_line_survivors(stats, trust).collect()}
+    voted = {r["field_name"]: r["value"] for r in survivors.game_line_survivors(stats, trust, by_rank=False).collect()}
+    assert ranked["player_name"] == ranked["roster_number"] == ranked["rushing_yards"] == 1
+    assert (voted["player_name"], voted["roster_number"], voted["rushing_yards"]) == ("Ann Ash", "17", "4.0")
