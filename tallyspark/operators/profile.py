@@ -111,15 +111,17 @@ def population_stability(counts: DataFrame, sizes: DataFrame | None = None, floo
     """
     keys = ["table_name", "column_name"]
     load = F.coalesce(F.concat(F.lit("="), F.col("load_id")), F.lit(""))
-    by_value = counts.select(*keys, load.alias("load"), F.coalesce(F.concat(F.lit("="), F.col("value")), F.lit("")).alias("v"), "n").repartition(*keys, "v")
-    held = by_value.withColumn("n_all", F.sum("n").over(Window.partitionBy(*keys, "v"))).drop("v")
+    value = Window.partitionBy(*keys, "v")
+    by_value = counts.select(*keys, load.alias("load"), F.coalesce(F.concat(F.lit("="), F.col("value")), F.lit("")).alias("v"), "n")
+    # one row of each value stands for it: both uses below read the same shuffled rows
+    held = by_value.withColumns({"n_all": F.sum("n").over(value), "stands": F.col("load") == F.min("load").over(value)}).drop("v")
     loads = materialise((counts if sizes is None else sizes).groupBy(*keys, load.alias("load")).agg(F.sum("n").alias("n_load")))
     sizes = materialise(loads.join(loads.groupBy(*keys).agg(F.sum("n_load").alias("n_table")), keys))
     rest = F.col("n_table") - F.col("n_load")
     # a value a load lacks adds a term in its total alone: the terms of all values, by how many have a total, less those of the held ones
     q_lacked = F.greatest(F.col("n_all") / rest, F.lit(floor))
     lacked = (F.lit(floor) - q_lacked) * F.log(F.lit(floor) / q_lacked)
-    alike = by_value.groupBy(*keys, "v").agg(F.sum("n").alias("n_all")).groupBy(*keys, "n_all").agg(F.count("*").alias("n_values"))
+    alike = held.where("stands").groupBy(*keys, "n_all").agg(F.count("*").alias("n_values"))
     whole = sizes.where(rest > 0).join(alike, keys).groupBy(*keys, "load").agg(F.sum(F.col("n_values") * lacked).alias("psi_if_lacked"))
     p = F.greatest(F.col("n") / F.col("n_load"), F.lit(floor))
     q = F.greatest((F.col("n_all") - F.col("n")) / rest, F.lit(floor))
