@@ -14,7 +14,9 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ship
 from .text import NULL_TOKENS
@@ -96,6 +98,24 @@ def dynamic_id(record: dict, pattern: str) -> str | None:
     return next((clean_value(v) for k, v in record.items() if re.fullmatch(rf"{pattern}\d+", str(k).strip(), re.I)), None)
 
 
+@F.arrow_udf(T.StringType())
+def _dynamic_ids(texts: pa.Array, patterns: pa.Array) -> pa.Array:
+    out = []
+    for text, pattern in zip(texts.to_pylist(), patterns.to_pylist()):
+        try:
+            record = json.loads(text or "", parse_float=str, parse_int=str)
+        except (ValueError, RecursionError):
+            record = None
+        out.append(dynamic_id(record, pattern) if isinstance(record, dict) else None)
+    return pa.array(out, pa.string())
+
+
+def dynamic_ids(text: Column, pattern: str) -> Column:
+    """``dynamic_id`` of each JSON object; null where the text is none or has no such key."""
+    ship()
+    return _dynamic_ids(text, F.lit(pattern))
+
+
 def values_of(value: object, key: str) -> list:
     """All values under a key at any depth, letter case aside."""
     return [v for _, node in nodes(value) if isinstance(node, dict) for k, v in node.items() if str(k).lower() == key.lower()]

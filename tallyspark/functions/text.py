@@ -37,6 +37,11 @@ def blank_to_null(value: Column | str) -> Column:
     return F.when(stripped != "", stripped)
 
 
+def safe_number(value: Column | str, kind: str = "bigint") -> Column:
+    """A text as a number; null where it isn't one, whatever it is."""
+    return strip_blanks(value).try_cast(kind)
+
+
 def preview(value: Column | str, width: int = 240) -> Column:
     """White space collapsed, cut at ``width`` characters with an ellipsis."""
     col = F.col(value) if isinstance(value, str) else value

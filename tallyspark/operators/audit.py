@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.people import first_initial, normalised_name, surname
 from ..functions.text import blank_to_null
-from .relational import distinct_joined, union_diagonal
+from .relational import counted, distinct_joined, union_diagonal
 
 
 def _context(df: DataFrame, name: str = "player_name") -> DataFrame:
@@ -149,7 +149,13 @@ def numbered(df: DataFrame, order: list[str]) -> DataFrame:
 
 
 def summary(audit: DataFrame, by: list[str]) -> DataFrame:
-    return audit.groupBy(*by).agg(F.count("*").alias("count")).orderBy(F.desc("count"), *by)
+    return counted(audit, by)
+
+
+def source_id_frequency(unresolved: DataFrame) -> DataFrame:
+    """(league, season, source_player_id, n_rows, n_teams, n_names) of the source ids of unresolved rows, the most frequent first."""
+    given = unresolved.withColumn("source_player_id", blank_to_null("source_player_id")).where("source_player_id is not null")
+    return given.groupBy("league", "season", "source_player_id").agg(F.count("*").alias("n_rows"), F.count_distinct("team_id").alias("n_teams"), F.count_distinct("player_name").alias("n_names")).orderBy(F.desc("n_rows"), "league", "season", "source_player_id")
 
 
 def disposition_queue(audits: dict[str, DataFrame]) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .relational import anti_missing, duplicate_groups
+from .relational import anti_missing, duplicate_groups, one_of, outside
 
 FINDING = "level string, table_name string, check_name string, message string, count long"
 
@@ -140,13 +140,13 @@ def check_table(name: str, df: DataFrame, rules: Rules | None = None, tables: di
         if c in numeric:
             tests.append(("WARNING", "non_negative", c, F.count_if(F.col(c) < 0)))
     for c, low, high, level in rules.ranges:
-        tests.append((level, "range", c, F.count_if((F.col(c) < low) | (F.col(c) > high))))
+        tests.append((level, "range", c, F.count_if(outside(c, low, high))))
     for label, wrong, level in rules.rows:
         tests.append((level, "rows", label, F.coalesce(F.sum(F.expr(f"cast({wrong} as int)")), F.lit(0))))
     for label, wrong, level in rules.shares:
         tests.append((level, "share", label, F.count_if(F.expr(wrong))))
     for c, values in rules.accepted.items():
-        tests.append(("ERROR", "accepted_values", c, F.count_if(~F.col(c).isin(*values))))
+        tests.append(("ERROR", "accepted_values", c, F.count_if(F.col(c).isNotNull() & ~one_of(c, values))))
     for c, values, level in rules.coverage:
         tests += [(level, "coverage", f"{c}: no {v}", F.when(F.count_if(F.col(c) == v) == 0, 1).otherwise(0)) for v in values if c in have]
     possible = [t for t in tests if t[1] in ("rows", "share", "coverage") or t[2] in have]

@@ -34,6 +34,65 @@ def prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(f"{prefix}{c}") for c in df.columns])
 
 
+def constant_view(df: DataFrame, column: str, value: object) -> DataFrame:
+    """The rows whose column holds a constant; the filter reaches the scan."""
+    return df.where(F.col(column) == F.lit(value))
+
+
+def outside(column: str, low: float, high: float) -> Column:
+    """Whether a value is out of a range; a null is in none and out of none."""
+    return (F.col(column) < low) | (F.col(column) > high)
+
+
+def any_null(columns: list[str] | tuple[str, ...]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+
+
+def one_of(column: str | Column, values: tuple[str, ...]) -> Column:
+    """Whether a value is in a fixed set; a null is not."""
+    return F.coalesce((F.col(column) if isinstance(column, str) else column).isin(*values), F.lit(False))
+
+
+def enrich(facts: DataFrame, dimension: DataFrame, prefix: str, on: list[tuple[str | Column, str]], fold: bool = False) -> DataFrame:
+    """Every fact once with the columns of the dimension that it matches, under ``prefix``; null keys match nothing.
+
+    ``on``: (fact's column, dimension's column); ``fold`` compares the last pair as names: case and blanks around don't count.
+    """
+    d = prefixed(dimension, prefix)
+    met = []
+    for n, (mine, other) in enumerate(on):
+        a, b = F.col(mine) if isinstance(mine, str) else mine, F.col(f"{prefix}{other}")
+        met.append(F.lower(F.trim(a)) == F.lower(F.trim(b)) if fold and n == len(on) - 1 else a == b)
+    return facts.join(d, met, "left")
+
+
+def distinct_counts(df: DataFrame, keys: list[str], counted: str, name: str) -> DataFrame:
+    """(*keys, name): how many different values of a column each key has; the rows are aggregated before anything is joined to them."""
+    return df.groupBy(*keys).agg(F.count_distinct(counted).alias(name))
+
+
+def counted(df: DataFrame, by: list[str], name: str = "count") -> DataFrame:
+    """How many rows each key has, the most frequent first, ties by key."""
+    return df.groupBy(*by).agg(F.count("*").alias(name)).orderBy(F.desc_nulls_first(name), *by)
+
+
+def percentage(condition: Column) -> Column:
+    """Aggregate: of how many rows in a hundred a condition holds; null without rows."""
+    return 100.0 * F.count_if(condition) / F.count("*")
+
+
+def sides(df: DataFrame, views: list[dict[str, Column]]) -> DataFrame:
+    """Each row once per view, with the view's columns: one scan, exploded, in place of a union of several. A view's column replaces one of its name."""
+    seen = F.array(*[F.struct(*[e.alias(n) for n, e in view.items()]) for view in views])
+    kept = [c for c in df.columns if c not in views[0]]
+    return df.select(*kept, F.inline(seen))
+
+
+def distinct_rows(df: DataFrame) -> DataFrame:
+    """Full-row duplicates once."""
+    return df.dropDuplicates()
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """One row per key: the first by ``order``, ties by all columns, so the choice doesn't hang on partitions. Null keys are one key.
 

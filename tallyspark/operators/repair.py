@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship
+from .relational import one_of
 
 # a JSON string, closed or running to the end of the text
 _STRING = re.compile(r'"(?:[^"\\]|\\.)*(?:"|\\?\Z)', re.S)
@@ -250,7 +251,7 @@ def classify_response(text: Column, endpoint: Column) -> Column:
 
 
 def recoverable(reason: Column) -> Column:
-    return F.coalesce(reason.isin(*RECOVERABLE), F.lit(False))
+    return one_of(reason, RECOVERABLE)
 
 
 def reason_level(reason: Column) -> Column:

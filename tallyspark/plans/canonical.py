@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.documents import flatten_documents
-from ..functions.text import name_key, strip_blanks
-from ..operators.relational import attach_id, keep_first, last_non_null, propagate_id, unique_mapping
+from ..functions.text import name_key, safe_number, strip_blanks
+from ..operators.relational import attach_id, distinct_rows, keep_first, last_non_null, propagate_id, unique_mapping
 from ..session import materialise
 
 # What stays text in the statistics; all other columns become doubles.
@@ -67,7 +67,7 @@ class Canonical:
 
     def _typed(self, df: DataFrame, whole: tuple[str, ...] = (), doubles: tuple[str, ...] = ()) -> DataFrame:
         kinds = {**dict.fromkeys(whole, "bigint"), **dict.fromkeys(doubles, "double")}
-        return df.select(*[F.col(f"`{c}`").try_cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in df.columns])
+        return df.select(*[safe_number(F.col(f"`{c}`"), kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in df.columns])
 
     def teams(self) -> DataFrame:
         columns = ["team_id", "team_number", "team_city", "team_name", "conf", "div", "region"]
@@ -98,7 +98,8 @@ class Canonical:
     def player_game_stats(self) -> DataFrame:
         """Lines of players in games; player_id by the roster's unique name, then by the source id of lines so resolved."""
         lines = _with(self._statistics(self.rows("player_game_stats"), GAME_TEXT), GAME_TEXT)
-        lines = lines.withColumn("date", game_date(F.col("date"), F.col("season"))).drop("endpoint", "file", "pos").distinct()
+        lines = lines.withColumn("date", game_date(F.col("date"), F.col("season"))).drop("endpoint", "file", "pos")
+        lines = distinct_rows(lines)
         keyed = lines.withColumn("name_key", name_key("player_name"))
         named = attach_id(keyed, self._name_lookup(), ["league", "season", "team_id", "name_key"], "player_id").drop("name_key")
         return propagate_id(materialise(named), ["league", "season", "source_player_id"], "player_id")

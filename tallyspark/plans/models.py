@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.stats import guarded_ratio, passer_rating
-from ..operators.relational import head_and_rest, keep_first, prefixed
+from ..operators.relational import constant_view, distinct_counts, enrich, head_and_rest, keep_first, sides
 from ..sources.tables import table
 
 # The typed head of each staging model; the other columns follow as they are.
@@ -69,8 +69,7 @@ CAREER_RATIOS = {
 LEAGUES = ("wfa", "wnfc")
 
 
-def _folded(column: str):
-    return F.lower(F.trim(column))
+_SCOPE = [("league", "league"), ("season", "season")]
 
 
 class Models:
@@ -96,18 +95,15 @@ class Models:
 
     def _with_dimensions(self, facts: DataFrame) -> DataFrame:
         """Facts with the player and the team they name, as p_ and t_ columns; null keys match nothing."""
-        p = prefixed(self.staging("players").select("player_id", "player_name"), "p_")
-        t = prefixed(self.staging("teams").select("league", "season", "team_id", "team_name"), "t_")
-        return (
-            facts.join(p, F.col("player_id") == F.col("p_player_id"), "left")
-            .join(t, (F.col("league") == F.col("t_league")) & (F.col("season") == F.col("t_season")) & (F.col("team_id") == F.col("t_team_id")), "left")
-        )
+        with_player = enrich(facts, self.staging("players").select("player_id", "player_name"), "p_", [("player_id", "player_id")])
+        return enrich(with_player, self.staging("teams").select("league", "season", "team_id", "team_name"), "t_", [*_SCOPE, ("team_id", "team_id")])
 
     def int_player_games(self) -> DataFrame:
         pg = self.staging("player_game_stats")
-        g = prefixed(self.staging("games").select("league", "season", "game_id", "season_type", "week", "date", "home_team_name", "visitor_team_name"), "g_")
-        joined = self._with_dimensions(pg.join(g, (F.col("league") == F.col("g_league")) & (F.col("season") == F.col("g_season")) & (F.col("game_id") == F.col("g_game_id")), "left"))
-        home, away = _folded("team_name") == _folded("g_home_team_name"), _folded("team_name") == _folded("g_visitor_team_name")
+        g = self.staging("games").select("league", "season", "game_id", "season_type", "week", "date", "home_team_name", "visitor_team_name")
+        joined = self._with_dimensions(enrich(pg, g, "g_", [*_SCOPE, ("game_id", "game_id")]))
+        team = F.lower(F.trim("team_name"))
+        home, away = team == F.lower(F.trim("g_home_team_name")), team == F.lower(F.trim("g_visitor_team_name"))
         head = [
             "league", "season", "game_id", F.col("g_season_type").alias("season_type"), F.col("g_week").alias("week"), F.coalesce("g_date", "date").alias("date"), "team_id",
             F.coalesce("t_team_name", "team_name").alias("team_name"),
@@ -131,20 +127,16 @@ class Models:
         return head_and_rest(self._with_dimensions(r), head, ["league", "season", "team_id", "team_name", "player_id"], r.columns)
 
     def int_team_games(self) -> DataFrame:
-        """Each game twice, seen from either team: one scan of the games, exploded, in place of a union of two."""
+        """Each game twice, seen from either team."""
         g = self.staging("games")
-        sides = F.array(*[F.struct(F.col(mine).alias("team_name"), F.col(other).alias("opponent_team_name"), F.lit(side).alias("game_location")) for side, mine, other in (("home", "home_team_name", "visitor_team_name"), ("away", "visitor_team_name", "home_team_name"))])
-        both = g.withColumn("_side", F.explode(sides))
-        head = ["league", "season", "game_id", "season_type", "week", "date", F.col("_side.team_name").alias("team_name"), F.col("_side.opponent_team_name").alias("opponent_team_name"), F.col("_side.game_location").alias("game_location"), "home_team_name", "visitor_team_name"]
-        return head_and_rest(both, head, ["league", "season", "game_id", "season_type", "week", "date", "home_team_name", "visitor_team_name", "_side"], both.columns)
+        views = [{"team_name": F.col(mine), "opponent_team_name": F.col(other), "game_location": F.lit(side)} for side, mine, other in (("home", "home_team_name", "visitor_team_name"), ("away", "visitor_team_name", "home_team_name"))]
+        head = ["league", "season", "game_id", "season_type", "week", "date", "team_name", "opponent_team_name", "game_location", "home_team_name", "visitor_team_name"]
+        return head_and_rest(sides(g, views), head, head)
 
     def int_team_seasons(self) -> DataFrame:
         ts, st = self.staging("team_season_stats"), self.staging("standings")
-        t = prefixed(self.staging("teams").select("league", "season", "team_id", "team_name"), "t_")
-        s = prefixed(st, "s_")
-        joined = ts.join(t, (F.col("league") == F.col("t_league")) & (F.col("season") == F.col("t_season")) & (F.col("team_id") == F.col("t_team_id")), "left").join(
-            s, (F.col("league") == F.col("s_league")) & (F.col("season") == F.col("s_season")) & (_folded("team_name") == _folded("s_team_name")), "left"
-        )
+        with_team = enrich(ts, self.staging("teams").select("league", "season", "team_id", "team_name"), "t_", [*_SCOPE, ("team_id", "team_id")])
+        joined = enrich(with_team, st, "s_", [*_SCOPE, ("team_name", "team_name")], fold=True)
         head = ["league", "season", "team_id", F.coalesce("t_team_name", "team_name").alias("team_name"), *[F.col(f"s_{c}").alias(c) for c in ("wins", "losses", "ties", "win_pct")]]
         hidden = ("league", "season", "team_id", "team_name")
         known = ("league", "season", "team_name", "wins", "losses", "ties", "win_pct")
@@ -164,8 +156,9 @@ class Models:
     def mart_player_season_stats(self) -> DataFrame:
         ps = self.int_player_seasons()
         # the counts need four columns of the facts: dimensions play no part, so none is joined for them
-        counts = prefixed(self.staging("player_game_stats").where("player_id is not null").groupBy("league", "season", "team_id", "player_id").agg(F.count_distinct("game_id").alias("games_with_stats")), "c_")
-        joined = ps.join(counts, [F.col(k) == F.col(f"c_{k}") for k in ("league", "season", "team_id", "player_id")], "left")
+        keys = ["league", "season", "team_id", "player_id"]
+        counts = distinct_counts(self.staging("player_game_stats").where("player_id is not null"), keys, "game_id", "games_with_stats")
+        joined = enrich(ps, counts, "c_", [(k, k) for k in keys])
         first = ["league", "season", "team_id", "team_name", "player_id", "player_name", "has_canonical_player"]
         return head_and_rest(joined, [*first, F.col("c_games_with_stats").alias("games_with_stats")], first, ps.columns)
 
@@ -197,8 +190,8 @@ class Models:
 
     def mart_team_season_summary(self) -> DataFrame:
         ts = self.int_team_seasons()
-        games = prefixed(self.int_team_games().groupBy("league", "season", "team_name").agg(F.count_distinct("game_id").alias("games_scheduled")), "g_")
-        joined = ts.join(games, (F.col("league") == F.col("g_league")) & (F.col("season") == F.col("g_season")) & (_folded("team_name") == _folded("g_team_name")), "left")
+        games = distinct_counts(self.int_team_games(), ["league", "season", "team_name"], "game_id", "games_scheduled")
+        joined = enrich(ts, games, "g_", [*_SCOPE, ("team_name", "team_name")], fold=True)
         first = ["league", "season", "team_id", "team_name", F.col("g_games_scheduled").alias("games_scheduled"), "wins", "losses", "ties", "win_pct"]
         return head_and_rest(joined, first, ["league", "season", "team_id", "team_name", "wins", "losses", "ties", "win_pct"], ts.columns)
 
@@ -211,7 +204,7 @@ class Models:
 
     def league_view(self, league: str, name: str) -> DataFrame:
         """A core mart of one league; the filter reaches the Parquet scan."""
-        return self.core(name).where(F.col("league") == league)
+        return constant_view(self.core(name), "league", league)
 
     def create_views(self) -> None:
         """Staging, intermediate and league models as views of the session."""
@@ -223,4 +216,4 @@ class Models:
             mart = self.core(name)
             mart.createOrReplaceTempView(name)
             for league in LEAGUES:
-                mart.where(F.col("league") == league).createOrReplaceTempView(name.replace("mart_", f"mart_{league}_", 1))
+                constant_view(mart, "league", league).createOrReplaceTempView(name.replace("mart_", f"mart_{league}_", 1))

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.documents import flatten_documents
+from ..functions.documents import dynamic_ids, flatten_documents
 from ..functions.people import first_initial, normalised_name, surname
 from ..functions.stats import guarded_ratio, passer_rating
-from ..functions.text import blank_to_null, id_key, name_key, preview, valued
-from ..operators import audit, relational
+from ..functions.text import blank_to_null, id_key, name_key, preview, safe_number, valued
+from ..operators import relational
 from ..operators.repair import classify_response, recover_texts, recoverable
 from ..session import materialise
 from ..sources.tables import table
@@ -51,45 +51,55 @@ def head_columns_reorder(spark, d):
 
 @_query("select * from customer where c_mktsegment = 'BUILDING'")
 def filter_constant_view(spark, d):
-    return table(spark, d, "customer").where(F.col("c_mktsegment") == "BUILDING")
+    return relational.constant_view(table(spark, d, "customer"), "c_mktsegment", "BUILDING")
 
 
 @_query("select * from customer where c_acctbal < 0 or c_acctbal > 9000")
 def filter_range_violation(spark, d):
-    return table(spark, d, "customer").where(~F.col("c_acctbal").between(0, 9000))
+    return table(spark, d, "customer").where(relational.outside("c_acctbal", 0, 9000))
 
 
 @_query("select league, season, team_id from teams where tier is null or conference is null or division is null")
 def filter_any_null(spark, d):
-    return table(spark, d, "teams").where("tier is null or conference is null or division is null").select("league", "season", "team_id")
+    return table(spark, d, "teams").where(relational.any_null(["tier", "conference", "division"])).select("league", "season", "team_id")
 
 
 @_query("select event_id, event_type from events where event_type in ('click', 'purchase')")
 def filter_set_membership(spark, d):
-    return table(spark, d, "events").where(F.col("event_type").isin("click", "purchase")).select("event_id", "event_type")
+    return table(spark, d, "events").where(relational.one_of("event_type", ("click", "purchase"))).select("event_id", "event_type")
 
 
-@_query("""select l_orderkey, l_linenumber, coalesce(c_name, 'unknown') as customer_name, case when o_orderstatus = 'F' then 'closed' when o_orderstatus = 'O' then 'open' end as state, c_custkey is not null as has_customer
+@_query("""
+select l_orderkey, l_linenumber, coalesce(c_name, 'unknown') as customer_name,
+  case when o_orderstatus = 'F' then 'closed' when o_orderstatus = 'O' then 'open' end as state, c_custkey is not null as has_customer
 from lineitem left join orders on l_orderkey = o_orderkey left join customer on o_custkey = c_custkey""")
 def left_join_enrich(spark, d):
     li, o, c = (table(spark, d, t) for t in ("lineitem", "orders", "customer"))
-    joined = li.join(o, li["l_orderkey"] == o["o_orderkey"], "left").join(c, F.col("o_custkey") == c["c_custkey"], "left")
-    state = F.when(F.col("o_orderstatus") == "F", "closed").when(F.col("o_orderstatus") == "O", "open")
-    return joined.select("l_orderkey", "l_linenumber", F.coalesce("c_name", F.lit("unknown")).alias("customer_name"), state.alias("state"), F.col("c_custkey").isNotNull().alias("has_customer"))
+    orders = o.select("o_orderkey", "o_custkey", "o_orderstatus")
+    joined = relational.enrich(relational.enrich(li, orders, "o_", [("l_orderkey", "o_orderkey")]), c.select("c_custkey", "c_name"), "c_", [("o_o_custkey", "c_custkey")])
+    state = F.when(F.col("o_o_orderstatus") == "F", "closed").when(F.col("o_o_orderstatus") == "O", "open")
+    name = F.coalesce("c_c_name", F.lit("unknown")).alias("customer_name")
+    return joined.select("l_orderkey", "l_linenumber", name, state.alias("state"), F.col("c_c_custkey").isNotNull().alias("has_customer"))
 
 
-@_query("select ts.row_id, s.wins, s.losses from team_season_stats ts left join standings s on ts.league = s.league and ts.season = s.season and lower(trim(ts.team_name)) = lower(trim(s.team_name))")
+@_query("""
+select ts.row_id, s.wins, s.losses from team_season_stats ts left join standings s
+  on ts.league = s.league and ts.season = s.season and lower(trim(ts.team_name)) = lower(trim(s.team_name))
+""")
 def left_join_expr_key(spark, d):
-    ts, s = table(spark, d, "team_season_stats"), relational.prefixed(table(spark, d, "standings"), "s_")
-    on = (F.col("league") == F.col("s_league")) & (F.col("season") == F.col("s_season")) & (F.lower(F.trim("team_name")) == F.lower(F.trim("s_team_name")))
-    return ts.join(s, on, "left").select("row_id", F.col("s_wins").alias("wins"), F.col("s_losses").alias("losses"))
+    ts, s = table(spark, d, "team_season_stats"), table(spark, d, "standings")
+    joined = relational.enrich(ts, s, "s_", [("league", "league"), ("season", "season"), ("team_name", "team_name")], fold=True)
+    return joined.select("row_id", F.col("s_wins").alias("wins"), F.col("s_losses").alias("losses"))
 
 
-@_query("select o_orderkey, o_custkey, n_parts from orders left join (select l_orderkey, count(distinct l_partkey) as n_parts from lineitem group by l_orderkey) on o_orderkey = l_orderkey")
+@_query("""
+select o_orderkey, o_custkey, n_parts from orders
+left join (select l_orderkey, count(distinct l_partkey) as n_parts from lineitem group by l_orderkey) on o_orderkey = l_orderkey
+""")
 def join_to_aggregate(spark, d):
-    n = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count_distinct("l_partkey").alias("n_parts"))
-    o = table(spark, d, "orders")
-    return o.join(n, o["o_orderkey"] == n["l_orderkey"], "left").select("o_orderkey", "o_custkey", "n_parts")
+    n = relational.distinct_counts(table(spark, d, "lineitem"), ["l_orderkey"], "l_partkey", "n_parts")
+    joined = relational.enrich(table(spark, d, "orders"), n, "n_", [("o_orderkey", "l_orderkey")])
+    return joined.select("o_orderkey", "o_custkey", F.col("n_n_parts").alias("n_parts"))
 
 
 @_query("select distinct player_id from player_season_stats c where player_id is not null and not exists (select 1 from players p where p.player_id = c.player_id)")
@@ -128,31 +138,43 @@ def duplicate_key_groups(spark, d):
     return relational.duplicate_groups(table(spark, d, "players"), ["player_id"])
 
 
-_STANDING_COLUMNS = ("league", "season", "tier", "conference", "wins", "win_pct", "streak", "home_record")
+# The columns of the standings, all of them.
+_STANDING_COLUMNS = (
+    "league", "season", "tier", "conference", "division", "region", "team_name", "team_logo", "wins", "losses", "ties", "win_pct", "points_for", "points_against", "home_record",
+    "away_record", "conference_record", "division_record", "nonconference_record", "nondivision_record", "streak", "load_id", "loaded_at",
+)
 
 
 @_query(" union all ".join(f"select '{c}' as column_name, count(*) - count({c}) as n_null, count(*) as n_rows from standings" for c in _STANDING_COLUMNS))
 def null_profile(spark, d):
-    return relational.null_counts(table(spark, d, "standings"), list(_STANDING_COLUMNS))
+    return relational.null_counts(table(spark, d, "standings"))
 
 
 @_query("select event_type, user_id, count(*) as n from events group by all")
 def group_count_multi_sorted(spark, d):
-    return table(spark, d, "events").groupBy("event_type", "user_id").agg(F.count("*").alias("n")).orderBy(F.desc_nulls_first("n"), "event_type", "user_id")
+    return relational.counted(table(spark, d, "events"), ["event_type", "user_id"], "n")
 
 
 _RATE = "least(greatest({}, 0.0), 2.375)"
-_Q = "(select l_suppkey, sum(l_quantity) as attempts, sum(case when l_returnflag = 'N' then l_quantity end) as completions, sum(l_linenumber) * 10.0 as yards, sum(case when l_linestatus = 'F' then 1 end) as tds, sum(case when l_returnflag = 'A' then 1 end) as ints from lineitem group by l_suppkey)"
+_TERMS = ("(completions / attempts - 0.3) * 5.0", "(yards / attempts - 3.0) * 0.25", "tds / attempts * 20.0", "2.375 - ints / attempts * 25.0")
 
 
-@_query(f"select l_suppkey, round(({' + '.join(_RATE.format(t) for t in ('(completions / attempts - 0.3) * 5.0', '(yards / attempts - 3.0) * 0.25', 'tds / attempts * 20.0', '2.375 - ints / attempts * 25.0'))}) / 6.0 * 100.0, 4) as rating, round(completions / attempts * 100.0, 4) as completion_pct from {_Q} where attempts > 0")
+@_query(f"""
+with q as (
+  select l_suppkey, sum(l_quantity) as attempts, sum(case when l_returnflag = 'N' then l_quantity end) as completions, sum(l_linenumber) * 10.0 as yards,
+    sum(case when l_linestatus = 'F' then 1 end) as tds, sum(case when l_returnflag = 'A' then 1 end) as ints
+  from lineitem group by l_suppkey)
+select l_suppkey, round(({' + '.join(_RATE.format(t) for t in _TERMS)}) / 6.0 * 100.0, 4) as rating, round(completions / attempts * 100.0, 4) as completion_pct
+from q where attempts > 0
+""")
 def qb_rating(spark, d):
     li = table(spark, d, "lineitem")
     one = li.groupBy("l_suppkey").agg(
         F.sum("l_quantity").alias("attempts"), F.sum(F.when(F.col("l_returnflag") == "N", F.col("l_quantity"))).alias("completions"), (F.sum("l_linenumber") * 10.0).alias("yards"),
         F.sum(F.when(F.col("l_linestatus") == "F", 1)).alias("tds"), F.sum(F.when(F.col("l_returnflag") == "A", 1)).alias("ints"),
     )
-    return one.where("attempts > 0").select("l_suppkey", F.round(passer_rating("attempts", "completions", "yards", "tds", "ints"), 4).alias("rating"), F.round(guarded_ratio("completions", "attempts", 100.0), 4).alias("completion_pct"))
+    rating = F.round(passer_rating("attempts", "completions", "yards", "tds", "ints"), 4).alias("rating")
+    return one.where("attempts > 0").select("l_suppkey", rating, F.round(guarded_ratio("completions", "attempts", 100.0), 4).alias("completion_pct"))
 
 
 @_query("select player_id, " + ", ".join(f"arg_max({c}, (loaded_at, row_id)) filter ({c} is not null and loaded_at is not null) as {c}" for c in ("rushing_yards", "tackles", "passing_yards")) + " from player_season_stats group by player_id")
@@ -175,7 +197,7 @@ def reconcile_counts(spark, d):
 
 @_query("select league, round(100.0 * count(*) filter (player_id is null) / count(*), 4) as missing_pct from player_season_stats group by league")
 def ratio_of_counts(spark, d):
-    return table(spark, d, "player_season_stats").groupBy("league").agg(F.round(100.0 * F.count_if(F.col("player_id").isNull()) / F.count("*"), 4).alias("missing_pct"))
+    return table(spark, d, "player_season_stats").groupBy("league").agg(F.round(relational.percentage(F.col("player_id").isNull()), 4).alias("missing_pct"))
 
 
 @_query("select * exclude (loaded_at) from player_season_stats qualify row_number() over (partition by league, season, team_id, player_id order by row_id) = 1")
@@ -185,7 +207,7 @@ def keep_first_dedupe(spark, d):
 
 @_query("select distinct event_type, user_id from events")
 def full_row_dedupe(spark, d):
-    return table(spark, d, "events").select("event_type", "user_id").dropDuplicates()
+    return relational.distinct_rows(table(spark, d, "events").select("event_type", "user_id"))
 
 
 @_query("select o_orderpriority, o_orderkey, o_totalprice from orders qualify row_number() over (partition by o_orderpriority order by o_totalprice desc, o_orderkey) <= 3")
@@ -195,8 +217,8 @@ def top_n_per_group(spark, d):
 
 @_query("select l_orderkey, l_linenumber, l_partkey as ref, 'part' as side from lineitem union all select l_orderkey, l_linenumber, l_suppkey, 'supplier' from lineitem")
 def unpivot_union_all(spark, d):
-    sides = F.array(*[F.struct(F.col(c).alias("ref"), F.lit(s).alias("side")) for c, s in (("l_partkey", "part"), ("l_suppkey", "supplier"))])
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.explode(sides).alias("s")).select("l_orderkey", "l_linenumber", "s.*")
+    views = [{"ref": F.col(c), "side": F.lit(side)} for c, side in (("l_partkey", "part"), ("l_suppkey", "supplier"))]
+    return relational.sides(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), views).select("l_orderkey", "l_linenumber", "ref", "side")
 
 
 @_query("select c_custkey as id, cast(c_nationkey as varchar) as nation, c_mktsegment as segment, null as balance from customer union all by name select s_suppkey as id, s_name as nation, s_acctbal as balance, null as segment from supplier")
@@ -211,16 +233,12 @@ def name_match_key(spark, d):
     return table(spark, d, "player_game_stats").select("row_id", name_key("player_name").alias("name_key"), blank_to_null("player_name").alias("clean_name"))
 
 
-@_query("""with n as (select player_id, player_name, nullif(trim(regexp_replace(lower(strip_accents(player_name)), '[^a-z0-9]+', ' ', 'g')), '') as normalized from players where regexp_full_match(player_name, '[ -~À-ÖØ-öø-ÿ]*'))
-select player_id, normalized, split_part(normalized, ' ', -1) as surname, substr(normalized, 1, 1) as initial from n""")
+@_query("""
+with n as (select player_id, nullif(trim(regexp_replace(lower(strip_accents(player_name)), '[^a-z0-9]+', ' ', 'g')), '') as normalized from players)
+select player_id, normalized, split_part(normalized, ' ', -1) as surname, substr(normalized, 1, 1) as initial from n
+""")
 def normalize_name(spark, d):
-    named = table(spark, d, "players").where(F.col("player_name").rlike("^[ -~À-ÖØ-öø-ÿ]*$")).select("player_id", normalised_name(F.col("player_name")).alias("normalized"))
-    return named.select("player_id", "normalized", surname(F.col("normalized")).alias("surname"), first_initial(F.col("normalized")).alias("initial"))
-
-
-@_query()
-def normalize_name_all(spark, d):
-    """normalize_name over all players, null names and names in any script too; DuckDB's strip_accents doesn't follow NFKD there."""
+    """Every player's name. DuckDB's strip_accents takes no ligatures and compatibility forms apart; such names are compared with NFKD in the tests."""
     named = table(spark, d, "players").select("player_id", normalised_name(F.col("player_name")).alias("normalized"))
     return named.select("player_id", "normalized", surname(F.col("normalized")).alias("surname"), first_initial(F.col("normalized")).alias("initial"))
 
@@ -230,64 +248,114 @@ def preview_truncate(spark, d):
     return table(spark, d, "documents").select("doc_id", preview("text").alias("preview"))
 
 
-@_query(f"select row_id, case when regexp_full_match(trim(roster_number, {_STRIP}), '[0-9]+') then try_cast(trim(roster_number, {_STRIP}) as bigint) end as number from player_game_stats")
+@_query(f"select row_id, try_cast(trim(roster_number, {_STRIP}) as bigint) as number from player_game_stats")
 def safe_cast(spark, d):
-    text = F.trim("roster_number", F.lit(" \t\n\r\f\x0b "))
-    return table(spark, d, "player_game_stats").select("row_id", F.when(text.rlike("^[0-9]+$"), text.try_cast("bigint")).alias("number"))
+    return table(spark, d, "player_game_stats").select("row_id", safe_number("roster_number").alias("number"))
 
 
-@_query("select game_id, row_number() over (partition by game_id order by loaded_at) as n, date as day from games where date is not null and year(date) = season")
+@_query("""
+with g as (select game_id, season, date, row_number() over (partition by game_id order by loaded_at, date, season) as n, (day(date) % 3) as form from games)
+select game_id, n, case when form = 0 then date else try_cast(season || strftime(date, '-%m-%d') as date) end as day from g
+""")
 def season_date_coalesce(spark, d):
-    from pyspark.sql import Window
-
-    g = table(spark, d, "games").where("date is not null and year(date) = season")
-    forms = F.element_at(F.array(F.date_format("date", "yyyy-MM-dd"), F.date_format("date", "MMMM d"), F.date_format("date", "MMM d")), (F.pmod(F.dayofmonth("date"), F.lit(3)) + 1).cast("int"))
-    return g.select("game_id", F.row_number().over(Window.partitionBy("game_id").orderBy("loaded_at")).alias("n"), game_date(forms, F.col("season")).alias("day"))
+    """Every game's date written in three ways, two of them without a year: those are of the season's year, and null if it lacks the day."""
+    g = table(spark, d, "games")
+    form = F.pmod(F.dayofmonth("date"), F.lit(3))
+    typed = F.when(form == 0, F.date_format("date", "yyyy-MM-dd")).when(form == 1, F.date_format("date", "MMMM d")).otherwise(F.date_format("date", "MMM d"))
+    n = F.row_number().over(Window.partitionBy("game_id").orderBy("loaded_at", "date", "season"))
+    return g.select("game_id", n.alias("n"), game_date(typed, F.col("season")).alias("day"))
 
 
 _IS_TIER = "coalesce(upper({0}) = 'WFA PRO' or upper({0}) like 'DIV %', false)"
 
 
-@_query(f"""select league, season, team_id, case when league = 'wfa' and {_IS_TIER.format('conf')} then conf when league = 'wfa' and {_IS_TIER.format('div')} then div end as tier,
-case when league = 'wnfc' then null when league = 'wfa' and {_IS_TIER.format('conf')} then div else conf end as conference,
-case when league = 'wfa' and ({_IS_TIER.format('conf')} or {_IS_TIER.format('div')}) then null else div end as division, region
-from (select league, season, team_id, case when conference = 'National' then 'Div 2' else conference end as conf, division as div, region from teams)""")
+@_query(f"""
+select league, season, team_id,
+  case when league = 'wfa' and {_IS_TIER.format('conf')} then conf when league = 'wfa' and {_IS_TIER.format('div')} then div end as tier,
+  case when league = 'wnfc' then null when league = 'wfa' and {_IS_TIER.format('conf')} then div else conf end as conference,
+  case when league = 'wfa' and ({_IS_TIER.format('conf')} or {_IS_TIER.format('div')}) then null else div end as division, region
+from (select league, season, team_id, case when conference = 'National' then 'Div 2' else conference end as conf, division as div, region from teams)
+""")
 def hierarchy_case(spark, d):
     t = table(spark, d, "teams").select("league", "season", "team_id", F.when(F.col("conference") == "National", "Div 2").otherwise(F.col("conference")).alias("conf"), F.col("division").alias("div"), "region")
     return team_place(t)
 
 
-@_query("select event_id, json_extract_string(props, '$.k') as k from events where json_extract_string(props, '$.k') is not null")
+@_query("select event_id, json_extract_string(props, '$.k') as k from events")
 def json_dynamic_key(spark, d):
-    parsed = table(spark, d, "events").select("event_id", F.from_json("props", "map<string,string>").alias("m"))
-    return parsed.select("event_id", F.get(F.map_values(F.map_filter("m", lambda k, v: k.rlike("^k[0-9]*$"))), F.lit(0)).alias("k")).where("k is not null")
+    """The value under a key that is a letter and digits: the number is put into the key, as the source does with ids."""
+    numbered = F.regexp_replace("props", '"k"', F.concat(F.lit('"k'), F.col("event_id").cast("string"), F.lit('"')))
+    return table(spark, d, "events").select("event_id", dynamic_ids(numbered, "k").alias("k"))
 
 
-@_query(f"select league, season, team_id, {_value('player_id')} as player_id, count(*) as n from rosters where {_value('player_id')} is not null and league is not null and season is not null and team_id is not null group by all")
+@_query(f"""
+select league, season, team_id, {_value('player_id')} as player_id, count(*) as n from rosters
+where {_value('player_id')} is not null and league is not null and season is not null and team_id is not null group by all
+""")
 def json_flatten_nested(spark, d):
     """Rosters written as nested documents, one per team and season, and flattened again."""
-    r = table(spark, d, "rosters").where("league is not null and season is not null and team_id is not null").withColumn("player_id", valued("player_id")).where("player_id is not null")
+    given = table(spark, d, "rosters").where("league is not null and season is not null and team_id is not null")
+    r = given.withColumn("player_id", valued("player_id")).where("player_id is not null")
     # a document is one roster; rosters are split over documents by a hash so that none grows with the table
-    part = F.pmod(F.xxhash64("player_id"), F.lit(8))
+    part = F.pmod(F.xxhash64("player_id"), F.lit(8)).alias("part")
     people = F.collect_list(F.struct(F.col("player_id").alias("player1"), F.col("roster_number").alias("Number")))
-    docs = r.groupBy("league", "season", "team_id", part.alias("part")).agg(F.to_json(F.struct(F.first("league").alias("league"), F.first("season").alias("season"), F.coalesce(F.first("team_name"), F.lit("")).alias("team"), people.alias("players"))).alias("text"))
-    flat = flatten_documents(docs.select("league", "season", F.lit("rosters").alias("endpoint"), F.col("team_id").alias("resource_id"), F.concat_ws("/", "league", "season", "team_id", "part").alias("file"), "text"))
-    return flat.where("table_name = 'rosters'").groupBy("league", "season", F.col("fields")["team_id"].alias("team_id"), F.col("fields")["player_id"].alias("player_id")).agg(F.count("*").alias("n"))
+    roster = F.struct(F.first("league").alias("league"), F.first("season").alias("season"), F.coalesce(F.first("team_name"), F.lit("")).alias("team"), people.alias("players"))
+    docs = r.groupBy("league", "season", "team_id", part).agg(F.to_json(roster).alias("text"))
+    file = F.concat_ws("/", "league", "season", "team_id", "part").alias("file")
+    flat = flatten_documents(docs.select("league", "season", F.lit("rosters").alias("endpoint"), F.col("team_id").alias("resource_id"), file, "text"))
+    keys = [F.col("league"), F.col("season"), F.col("fields")["team_id"].alias("team_id"), F.col("fields")["player_id"].alias("player_id")]
+    return flat.where("table_name = 'rosters'").groupBy(*keys).agg(F.count("*").alias("n"))
 
 
-_PHRASES = ("no data", "no records", "not found", "no roster", "no standings", "no stats", "no games", "nothing found", "does not exist", "doesn''t exist", "not available", "unavailable", "not yet published", "have not published", "has not published")
+# What marks a response without data.
+_PHRASES = (
+    "no data", "no records", "not found", "no roster", "no standings", "no stats", "no games", "nothing found", "does not exist", "doesn''t exist", "not available", "unavailable",
+    "not yet published", "have not published", "has not published",
+)
+_NO_DATA = " or ".join(f"contains(lower(text), '{p}')" for p in _PHRASES)
 
 
-@_query(f"select doc_id, coalesce(trim(text, {_STRIP}), '') = '' as empty, coalesce({' or '.join(f'contains(lower(text), {chr(39)}{p}{chr(39)})' for p in _PHRASES)}, false) as no_data from documents")
+@_query(f"select doc_id, coalesce(trim(text, {_STRIP}), '') = '' as empty, coalesce({_NO_DATA}, false) as no_data from documents")
 def response_no_data(spark, d):
+    """Two reasons of every document: null or blank, and one of the phrases."""
     docs = table(spark, d, "documents").select("doc_id", classify_response(F.col("text"), F.lit("rosters")).alias("reason"))
     return docs.select("doc_id", (F.col("reason") == "EMPTY").alias("empty"), (F.col("reason") == "NO_DATA").alias("no_data"))
 
 
-@_query()
+# one response of each kind, by the number of the row: (reason, endpoint, text with the row's number in it)
+_RESPONSES = (
+    ("EMPTY", "games", " \n "),
+    ("NO_DATA", "rosters", "Nothing found for {}, sorry"),
+    ("EMPTY_PLAYER_STATS", "stats", '{{"row": {}, "player_stat_totals": [ {{ ] }}'),
+    ("HTML_RESPONSE", "teams", "<html><p>{}</p></html>"),
+    ("API_ERROR", "teams", "502 Bad Gateway, request {}"),
+    ("VALID_JSON_MARKED_INVALID", "teams", '{{"row": {}}}'),
+    ("PYTHON_LITERAL", "teams", "{{'row': ({}, None)}}"),
+    ("MALFORMED_GAME_DATA", "games", '{{"row": [{},}}'),
+    ("MALFORMED_STANDINGS_DATA", "standings", '{{"row": [{},}}'),
+    ("MALFORMED_JSON", "teams", '{{"row": [{},}}'),
+    ("TEXT_RESPONSE", "teams", "row {} of the list"),
+    ("UNKNOWN", "teams", "\x01\x02\x03\x04{}"),
+)
+_RECOVERABLE = ("VALID_JSON_MARKED_INVALID", "PYTHON_LITERAL", "MALFORMED_GAME_DATA", "MALFORMED_STANDINGS_DATA", "MALFORMED_JSON")
+
+
+@_query(
+    "select row_id, reason, reason in (" + ", ".join(f"'{r}'" for r in _RECOVERABLE) + ") as recoverable from (select row_id, case row_id % 12 "
+    + " ".join(f"when {n} then '{reason}'" for n, (reason, _, _) in enumerate(_RESPONSES)) + " end as reason from feed_rows)"
+)
 def response_classify(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", classify_response(F.col("text"), F.lit("games")).alias("reason"))
-    return docs.select("doc_id", "reason", recoverable(F.col("reason")).alias("recoverable"))
+    """A response of each of the twelve kinds for every row."""
+    at, number = F.pmod(F.col("row_id"), F.lit(12)).cast("int"), F.col("row_id").cast("string")
+    bodies = []
+    for _, _, body in _RESPONSES:
+        before, after = (part.replace("{{", "{").replace("}}", "}") for part in body.split("{}")) if "{}" in body else (body, None)
+        text = F.lit(before) if after is None else F.concat(F.lit(before), number, F.lit(after))
+        bodies.append(text)
+    endpoint = F.get(F.array(*[F.lit(e) for _, e, _ in _RESPONSES]), at)
+    rows = table(spark, d, "feed_rows").select("row_id", F.get(F.array(*bodies), at).alias("text"), endpoint.alias("endpoint"))
+    classed = rows.select("row_id", classify_response(F.col("text"), F.col("endpoint")).alias("reason"))
+    return classed.select("row_id", "reason", recoverable(F.col("reason")).alias("recoverable"))
 
 
 @_query("select row_id, payload as original, 'MALFORMED_STANDINGS_DATA' as category, true as success from feed_rows where payload is not null")
@@ -301,61 +369,6 @@ def json_repair(spark, d):
     return fixed.select("row_id", F.when(same, F.col("payload")).alias("original"), "category", "success")
 
 
-def _dirty_lines(spark, d):
-    lines = table(spark, d, "player_game_stats").select("row_id", "league", "season", *[valued(c).alias(c) for c in ("team_id", "source_player_id", "player_name", "player_id")])
-    return lines.where("player_id is null"), lines.where("player_id is not null")
-
-
-_NORM = "nullif(trim(regexp_replace(lower(strip_accents({})), '[^a-z0-9]+', ' ', 'g')), '')"
-_AUDIT = f"""with lines as (select row_id, lower(league) as lg, season, {_value('team_id')} as team, {_value('source_player_id')} as source, {_value('player_name')} as nm, {_value('player_id')} as player from player_game_stats),
-u as (select *, lower(nm) as ex, {_NORM.format('nm')} as no from lines where player is null),
-pn as (select trim(player_id, {_STRIP}) as player, min(player_name) as name from players where trim(player_id, {_STRIP}) <> '' group by 1),
-r0 as (select distinct lower(trim(league, {_STRIP})) as lg, season, trim(team_id, {_STRIP}) as team, trim(player_id, {_STRIP}) as player from rosters where trim(player_id, {_STRIP}) <> '' and trim(team_id, {_STRIP}) <> '' and league is not null and season is not null),
-r as (select r0.*, case when trim(name, {_STRIP}) <> '' then lower(trim(name, {_STRIP})) end as ex, {_NORM.format('name')} as no from r0 left join pn using (player)),
-src as (select lg, season, source, count(distinct player) as n from lines where player is not null and source is not null group by all),
-c as (select u.*,
-  (select count(*) from r where r.lg = u.lg and r.season = u.season and r.team = u.team) as n_roster,
-  (select count(distinct player) from r where r.lg = u.lg and r.season = u.season and r.team = u.team and r.ex = u.ex) as n_exact,
-  (select count(distinct player) from r where r.lg = u.lg and r.season = u.season and r.team = u.team and r.no = u.no) as n_norm,
-  coalesce((select n from src where src.lg = u.lg and src.season = u.season and src.source = u.source), 0) as n_source,
-  (select count(distinct (team, player)) from r where r.lg = u.lg and r.season = u.season and r.ex = u.ex and r.team is distinct from u.team) as s_exact,
-  (select count(distinct (team, player)) from r where r.lg = u.lg and r.season = u.season and r.no = u.no and r.team is distinct from u.team) as s_norm,
-  (select count(distinct (season, team, player)) from r where r.lg = u.lg and r.ex = u.ex and r.season is distinct from u.season) as o_exact,
-  (select count(distinct (season, team, player)) from r where r.lg = u.lg and r.no = u.no and r.season is distinct from u.season) as o_norm,
-  (select count(distinct (team, player)) from r where r.lg = u.lg and r.season = u.season and split_part(r.no, ' ', -1) = split_part(u.no, ' ', -1) and substr(r.no, 1, 1) = substr(u.no, 1, 1) and r.team is distinct from u.team) as s_sur
-  from u),
-x as (select row_id,
-  case when lg is null or season is null or team is null then 'MISSING_IDENTITY_CONTEXT' when n_roster = 0 then 'NO_ROSTER_FOR_TEAM_SEASON' when nm is null then 'MISSING_PLAYER_NAME'
-    when n_exact = 1 then 'EXACT_NAME_UNIQUE_CANDIDATE' when n_exact > 1 then 'EXACT_NAME_AMBIGUOUS' when no is null then 'MISSING_NORMALIZED_NAME' when n_norm = 1 then 'NORMALIZED_NAME_UNIQUE_CANDIDATE' when n_norm > 1 then 'NORMALIZED_NAME_AMBIGUOUS' else 'NO_PLAYER_CANDIDATE_ON_ROSTER' end as diagnosis,
-  case {' '.join(f"when {n} = 1 then '{one}' when {n} > 1 then '{many}'" for n, (_, one, many) in zip(('n_source', 's_exact', 's_norm', 'o_exact', 'o_norm', 's_sur'), audit.EVIDENCE))} else 'NO_CROSS_ROSTER_EVIDENCE' end as evidence_class from c)
-select row_id, diagnosis, evidence_class, case when diagnosis = 'NO_ROSTER_FOR_TEAM_SEASON' then 'SOURCE_ROSTER_MISSING' when diagnosis in ('EXACT_NAME_AMBIGUOUS', 'NORMALIZED_NAME_AMBIGUOUS') then 'SOURCE_PLAYER_IDENTITY_AMBIGUOUS'
-  when diagnosis in ('MISSING_IDENTITY_CONTEXT', 'MISSING_PLAYER_NAME', 'MISSING_NORMALIZED_NAME') then 'SOURCE_IDENTITY_CONTEXT_MISSING'
-  when evidence_class in ('PLAYER_EXISTS_OTHER_SEASON_EXACT_NAME', 'PLAYER_EXISTS_MULTIPLE_OTHER_SEASONS_EXACT_NAME') then 'CROSS_SEASON_IDENTITY_ONLY'
-  when evidence_class in ('PLAYER_EXISTS_OTHER_SEASON_NORMALIZED_NAME', 'PLAYER_EXISTS_MULTIPLE_OTHER_SEASONS_NORMALIZED_NAME', 'POSSIBLE_NAME_VARIANT_SURNAME_INITIAL', 'AMBIGUOUS_SURNAME_INITIAL', 'POSSIBLE_TEAM_TRANSFER_NORMALIZED_NAME', 'SAME_SEASON_NORMALIZED_NAME_MULTIPLE_TEAMS') then 'NAME_VARIANT_REVIEW'
-  when evidence_class in ('POSSIBLE_TEAM_TRANSFER_EXACT_NAME', 'SAME_SEASON_EXACT_NAME_MULTIPLE_TEAMS') then 'SOURCE_PLAYER_IDENTITY_AMBIGUOUS'
-  when diagnosis = 'NO_PLAYER_CANDIDATE_ON_ROSTER' and evidence_class = 'NO_CROSS_ROSTER_EVIDENCE' then 'SOURCE_PLAYER_NOT_ON_ROSTER' else 'NO_IDENTITY_EVIDENCE' end as disposition from x"""
-
-
-@_query(_AUDIT)
-def audit_player_games(spark, d):
-    unresolved, resolved = _dirty_lines(spark, d)
-    return audit.audit_players(unresolved, table(spark, d, "rosters"), table(spark, d, "players"), resolved).select("row_id", "diagnosis", "evidence_class", "disposition")
-
-
-@_query(f"select disposition, diagnosis, count(*) as count from ({_AUDIT}) group by all")
-def audit_summary(spark, d):
-    return audit.summary(audit_player_games(spark, d), ["disposition", "diagnosis"])
-
-
-@_query(f"""with t as (select lower(trim(league, {_STRIP})) as lg, season, trim(team_id, {_STRIP}) as team, case when trim(team_name, {_STRIP}) <> '' then trim(team_name, {_STRIP}) end as nm from teams where trim(team_id, {_STRIP}) <> ''),
-u as (select row_id, lower(league) as lg, season, case when trim(team_name, {_STRIP}) <> '' then trim(team_name, {_STRIP}) end as nm from team_season_stats where {_value('team_id')} is null),
-c as (select u.*, (select count(distinct team) from t where t.lg = u.lg and t.season = u.season and lower(t.nm) = lower(u.nm)) as n, (select count(distinct team) from t where t.lg = u.lg and t.season = u.season and {_NORM.format('t.nm')} = {_NORM.format('u.nm')}) as m from u)
-select row_id, case when n = 1 then 'EXACT_TEAM_NAME_UNIQUE_CANDIDATE' when n > 1 then 'EXACT_TEAM_NAME_AMBIGUOUS' when m = 1 then 'NORMALIZED_TEAM_NAME_UNIQUE_CANDIDATE' when m > 1 then 'NORMALIZED_TEAM_NAME_AMBIGUOUS' else 'NO_TEAM_CANDIDATE' end as diagnosis from c""")
-def audit_team_seasons(spark, d):
-    unresolved = table(spark, d, "team_season_stats").withColumn("team_id", valued("team_id")).where("team_id is null")
-    return audit.audit_teams(unresolved, table(spark, d, "teams")).select("row_id", "diagnosis")
-
-
 @_query("select p_partkey, sha256(concat_ws('|', cast(p_partkey as varchar), coalesce(p_name, '\\N'), coalesce(p_brand, '\\N'))) as fingerprint from part")
 def row_fingerprint(spark, d):
     p = table(spark, d, "part")

@@ -50,6 +50,48 @@ def test_names_of_any_script_are_normalised(spark, tmp_path):
 
     names = {"1": ("Chloé Ash", "chloe ash"), "2": ("ChloÃ© Ash", "chloa ash"), "3": ("Łucja Šťastná", "ucja stastna"), "4": ("Ann\u00a0O’Hara", "ann o hara"), "5": ("ﬁona Ｂirch", "fiona birch"), "6": ("王芳", None), "7": (None, None), "8": ("", None)}
     spark.createDataFrame([(i, n) for i, (n, _) in names.items()], "player_id string, player_name string").write.parquet(f"{tmp_path}/players.parquet")
-    got = {r["player_id"]: r for r in QUERIES["normalize_name_all"](spark, str(tmp_path)).collect()}
+    got = {r["player_id"]: r for r in QUERIES["normalize_name"](spark, str(tmp_path)).collect()}
     assert {i: r["normalized"] for i, r in got.items()} == {i: want for i, (_, want) in names.items()}
     assert all((r["surname"], r["initial"]) == ((w.split()[-1], w[0]) if (w := r["normalized"]) else (None, None)) for r in got.values())
+
+
+def test_names_against_plain_normalisation(spark):
+    """Names in any script, with ligatures, curly marks and no-break blanks: normalised as NFKD says, character by character."""
+    import unicodedata
+
+    from tallyspark.functions.people import normalised_name
+
+    names = ["Zoë Ångström", "ﬁona O’Neil", "Ｊａｎｅ", "Łucja", "Иван", "Ann Ash-Birch", "", "…", None, "ChloÃ© ²", "x" * 3000, "Ann", "Ann"]
+
+    def plain(name):
+        if name is None:
+            return None
+        kept = [c for c in unicodedata.normalize("NFKD", name).lower() if not unicodedata.combining(c)]
+        words = "".join(c if c in "abcdefghijklmnopqrstuvwxyz0123456789" else " " for c in kept).split()
+        return " ".join(words) or None
+
+    got = [r["n"] for r in spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, i int").select("i", normalised_name(R.F.col("name")).alias("n")).orderBy("i").collect()]
+    assert got == [plain(n) for n in names]
+
+
+def test_conditions_and_views(spark):
+    df = spark.createDataFrame([("a", 1), ("b", None), ("c", 9), (None, 5)], "k string, n int")
+
+    def kept(condition):
+        return [r["k"] for r in df.where(condition).collect()]
+
+    assert kept(R.outside("n", 2, 6)) == ["a", "c"] and kept(R.any_null(["k", "n"])) == ["b", None]
+    assert kept(R.one_of("k", ("a", "z"))) == ["a"] and kept(~R.one_of("k", ("a", "z"))) == ["b", "c", None]
+    assert df.agg(R.percentage(R.F.col("n").isNull()).alias("p")).first()["p"] == 25.0 and df.limit(0).agg(R.percentage(R.F.col("n") > 1).alias("p")).first()["p"] is None
+    both = R.sides(df.limit(1), [{"k": R.F.col("k"), "side": R.F.lit("x")}, {"k": R.F.col("n").cast("string"), "side": R.F.lit("y")}])
+    assert sorted((r["k"], r["side"], r["n"]) for r in both.collect()) == [("1", "y", 1), ("a", "x", 1)]
+    dim = spark.createDataFrame([(" A ", "hit"), (None, "none")], "k string, v string")
+    assert [r["d_v"] for r in R.enrich(df, dim, "d_", [("k", "k")], fold=True).orderBy("n").collect() if r["d_v"]] == ["hit"]
+
+
+def test_dynamic_ids(spark):
+    from tallyspark.functions.documents import dynamic_ids
+
+    texts = ['{"a": 1, "player12": " x "}', '{"player": 1}', "[1]", "{", None, '{"PLAYER7": null, "player8": "y"}']
+    got = [r["x"] for r in spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "t string, i int").select("i", dynamic_ids(R.F.col("t"), "player").alias("x")).orderBy("i").collect()]
+    assert got == ["x", None, None, None, None, None]
