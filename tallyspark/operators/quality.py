@@ -128,7 +128,7 @@ def check_table(name: str, df: DataFrame, rules: Rules | None = None, tables: di
 
     Missing required columns are findings themselves. Duplicate keys count as
     groups, foreign keys as different keys. Nulls are out of no range. An empty
-    table breaks no rule.
+    table breaks no rule, but lacks the values that ``coverage`` asks for.
     """
     rules = rules or RULES.get(name, Rules())
     spark, have = df.sparkSession, set(df.columns)
@@ -158,7 +158,7 @@ def check_table(name: str, df: DataFrame, rules: Rules | None = None, tables: di
         one = df.agg(F.count("*").alias("rows"), *[e.alias(f"t{n}") for n, (_, _, _, e) in enumerate(possible)])
 
         def cell(n: int, level: str, kind: str, what: str) -> Column:
-            share = F.format_string(f"{what}: %.2f %% of the rows", 100.0 * F.col(f"t{n}") / F.col("rows"))
+            share = F.format_string(f"{what}: %.2f %% of the rows", F.try_divide(100.0 * F.col(f"t{n}"), F.col("rows")))
             return F.struct(F.lit(level).alias("level"), F.lit(name).alias("table_name"), F.lit(kind).alias("check_name"), (share if kind == "share" else F.lit(what)).alias("message"), F.col(f"t{n}").cast("long").alias("count"))
 
         cells = F.array(*[cell(n, *t[:3]) for n, t in enumerate(possible)])

@@ -78,7 +78,7 @@ def counted(df: DataFrame, by: list[str], name: str = "count") -> DataFrame:
 
 def percentage(condition: Column) -> Column:
     """Aggregate: of how many rows in a hundred a condition holds; null without rows."""
-    return 100.0 * F.count_if(condition) / F.count("*")
+    return F.try_divide(100.0 * F.count_if(condition), F.count("*"))
 
 
 def sides(df: DataFrame, views: list[dict[str, Column]]) -> DataFrame:

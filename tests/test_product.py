@@ -154,3 +154,47 @@ def test_release(spark, models, tmp_path):
     assert exported["datasets"][0]["row_count"] == 1
     with pytest.raises(release.ReleaseError):
         release.export_marts({}, "9.9.9", tmp_path)
+
+
+def test_marts_and_coverage(spark, models):
+    from tallyspark.operators import quality
+
+    found = {(r["table_name"], r["check_name"], r["message"]): r["count"] for r in quality.check_marts({n: models.core(n) for n in Models.CORE}).collect()}
+    assert found == {}
+    bad = spark.createDataFrame([("nfl", 2020, None, "A", "p"), (None, 2020, "t", "A", "p")], "league string, season long, team_id string, team_name string, player_id string")
+    found = {(r["check_name"], r["message"]): r["count"] for r in quality.check_marts({"mart_players": bad}).collect()}
+    assert found == {("not_null", "team_id"): 1, ("not_null", "league"): 1, ("accepted_values", "league"): 1}
+    empty = {n: spark.createDataFrame([], ", ".join(f"{c} {'bigint' if k == 'long' else k}" for c, k in quality.CONTRACTS[n].columns.items())) for n in ("standings", "player_game_stats")}
+    found = {(r["level"], r["table_name"], r["check_name"]) for r in quality.check_all(empty, ("standings", "teams")).collect()}
+    assert found == {("INFO", "standings", "coverage"), ("ERROR", "teams", "table_exists")}
+    lines = spark.createDataFrame([("p", 1), (None, 2), (None, 3)], "player_id string, week long")
+    shares = [r["message"] for r in quality.check_table("player_game_stats", lines, required=[]).where("check_name = 'share'").collect()]
+    assert shares == ["unresolved_player: 66.67 % of the rows"]
+
+
+def test_release_read_back(spark, models, tmp_path, monkeypatch):
+    tables = {"teams": teams(spark, ("wfa", 2025, "a", "A"), (None, 2026, "b", "B")), "team_season_stats": spark.createDataFrame([("wfa", 2020, "a", "A")] * 2 + [("wfa", 2020, None, "A")] * 2, "league string, season long, team_id string, team_name string")}
+    root = tmp_path / "releases"
+    monkeypatch.setattr(release, "SINGLE_FILE_ROWS", 3)
+    target = release.publish(tables, "1.0.0", root, validate=False, pointer=False)
+    assert not (root / "latest.json").exists()
+    manifest = {e["dataset"]: e for e in json.loads((target / "manifest.json").read_text())["datasets"]}
+    assert manifest["team_season_stats"]["duplicate_keys"] == 1 and "parts" in manifest["team_season_stats"] and (target / "datasets/team_season_stats.parquet").is_dir()
+    assert any("league=__NULL__" in p["path"] for p in manifest["teams"]["partitions"])
+    dictionary = json.loads((target / "data_dictionary.json").read_text())
+    assert dictionary["teams"]["grain"] and all(c["description"] for c in dictionary["teams"]["columns"])
+    with pytest.raises(release.ReleaseError):
+        release.latest_release(root)
+    release.publish(tables, "1.1.0", root, validate=False)
+    assert release.latest_release(root) == "v1.1.0" and release.release_tables(spark, root)["team_season_stats"].count() == 4
+
+
+def test_tables_by_name(spark, tmp_path):
+    from tallyspark.sources.tables import MissingTables, load_tables
+
+    spark.createDataFrame([("t", "A, \"x\"")], "team_id string, team_name string").write.parquet(f"{tmp_path}/teams.parquet")
+    (tmp_path / "players.csv").write_text('player_id,player_name\np,"Ann ""A"" Ash"\n')
+    got = load_tables(spark, str(tmp_path), ("teams", "players"))
+    assert got["players"].first()["player_name"] == 'Ann "A" Ash' and got["teams"].count() == 1
+    with pytest.raises(MissingTables, match="games, rosters"):
+        load_tables(spark, str(tmp_path), ("teams", "games", "rosters"))
