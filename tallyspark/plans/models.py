@@ -66,6 +66,9 @@ CAREER_RATIOS = {
     "career_pat_pct": ("pats_made", "pat_attempts", 100.0),
 }
 
+# The statistics that the passers' mart takes from the source beside the sums.
+QB_SOURCE = ("passing_long", "completion_pct", "passing_average", "passer_rating")
+
 LEAGUES = ("wfa", "wnfc")
 
 
@@ -76,7 +79,11 @@ class Models:
     """The models over a set of canonical tables given by name."""
 
     def __init__(self, tables: dict[str, DataFrame]):
-        self.tables = tables
+        self.tables = dict(tables)
+        # statistics that no document of a release names are null, so that its marts have the same columns as any other's
+        if (seasons := tables.get("player_season_stats")) is not None:
+            needed = [c for c in (*CAREER_SUMS, *QB_SOURCE) if c != "games_with_stats" and c not in seasons.columns]
+            self.tables["player_season_stats"] = seasons.withColumns({c: F.lit(None).cast("double") for c in needed})
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Models:
