@@ -132,26 +132,82 @@ P1_SQL = " union all ".join(
 )
 
 
-def _either(pattern: str) -> str:
-    return f'(?:{pattern}|"{pattern}")'
-
-
-def _p2_sql(columns: str, wanted: str) -> str:
-    any_field = broken_lines._FIELD
-    parts = [any_field] * 12
-    parts[0] = r'(?:[^",\r\n]+|"(?:[^"]|"")+")'
-    parts[2 + 1] = f"(?:|{_either('[0-9]{4}')}|\"\")"
-    parts[4] = _either(f"(?:{'|'.join(broken_lines.ENDPOINTS)})")
-    parts[6] = _either(f"(?:{'|'.join(broken_lines.CATEGORIES)})")
-    parts[7] = _either("(?:[Tt][Rr][Uu][Ee]|[Ff][Aa][Ll][Ss][Ee])")
-    parts[10] = f"({_either('[0-9]+')})"
-    parts[11] = f"({_either('[0-9]*')})"
-    pattern = "^" + ",".join(parts) + "$"
-    number = "try_cast(nullif(replace(regexp_extract(line_text, pat, {}), '\"', ''), '') as bigint)"
-    size, empty = number.format(1), "replace(regexp_extract(line_text, pat, 2), '\"', '') = ''"
-    valid = f"(coalesce(regexp_full_match(line_text, pat), false) and {size} is not null and ({empty} or {number.format(2)} is not null))"
-    literal = pattern.replace("'", "''")
-    return f"select {columns} from (select *, '{literal}' as pat from recovery_lines) where {wanted.format(valid=valid)}"
+# The fields of a recovery report record in order, its endpoints and categories; a field of RFC 4180.
+_P2_FIELDS = (
+    "source_file", "recovered_file", "league", "season", "endpoint", "resource_id", "category", "success", "recovery_rule", "parse_error", "source_size_bytes", "output_size_bytes",
+)
+_P2_ENDPOINTS = "teams team_stats offensive_stats defensive_stats scoring_stats special_teams_stats schedule standings rosters games players player_stats stats".split()
+_P2_CATEGORIES = "MALFORMED_GAME_DATA MALFORMED_STANDINGS_DATA PYTHON_LITERAL EMPTY_PLAYER_STATS VALID_JSON UNSUPPORTED".split()
+_P2_FIELD = r"""(?:[^",\r\n]*|"(?:[^"]|"")*")"""
+
+
+def _among(values: list[str]) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+def _unquoted(c: str) -> str:
+    return f"case when f.{c} like '\"%' then replace(substr(f.{c}, 2, length(f.{c}) - 2), '\"\"', '\"') else f.{c} end as {c}"
+
+
+# Lines told apart by one pattern; of lines of twelve fields the fields unquoted; the first rule a line breaks.
+_P2_LINES = f"""
+with t as (
+  select line_id, line_text, coalesce(regexp_full_match(line_text, '{_P2_FIELD}(?:,{_P2_FIELD})*'), false) and not contains(line_text, chr(0)) as quoted_well,
+    length(regexp_replace(line_text, '"(?:[^"]|"")*"|[^,]', '', 'g')) + 1 as n_fields from recovery_lines),
+x as (
+  select *, case when quoted_well and n_fields = 12 then regexp_extract(line_text, '^{",".join([f"({_P2_FIELD})"] * 12)}$', [{", ".join(f"'{c}'" for c in _P2_FIELDS)}]) end as f from t),
+v as (select line_id, line_text, quoted_well, n_fields, {", ".join(_unquoted(c) for c in _P2_FIELDS)} from x),
+told as (
+  select *, case when line_text is null or line_text = '' then 'empty record' when not quoted_well then 'broken quoting'
+    when n_fields < 12 then 'too few fields' when n_fields > 12 then 'too many fields'
+    when source_file = '' then 'source_file is empty'
+    when season <> '' and not regexp_full_match(season, '[0-9]{{4}}') then 'season is not four digits'
+    when endpoint not in {_among(_P2_ENDPOINTS)} then 'endpoint is unknown'
+    when category not in {_among(_P2_CATEGORIES)} then 'category is unknown'
+    when lower(success) not in ('true', 'false') then 'success is not a boolean'
+    when not regexp_full_match(source_size_bytes, '[0-9]+') or try_cast(source_size_bytes as bigint) is null then 'source_size_bytes is not a long'
+    when output_size_bytes <> '' and (not regexp_full_match(output_size_bytes, '[0-9]+') or try_cast(output_size_bytes as bigint) is null) then 'output_size_bytes is not a long' end as reason
+  from v)"""
+
+
+def _typed_field(c: str) -> str:
+    if c == "success":
+        return "lower(success) = 'true' as success"
+    return f"cast(nullif({c}, '') as bigint) as {c}" if c in ("season", "source_size_bytes", "output_size_bytes") else f"nullif({c}, '') as {c}"
+
+
+# The other names the fields of each feed go by in the smaller test tables, and the columns of the feeds' tables with their types there.
+_FEED_NAMES = {
+    "standings": {"victories": "w", "winning_percentage": "win_pct", "defeats": "l", "scored": "pf", "current_run": "streak", "club": "team_name"},
+    "player_game_stats": {"total_tackles": "tackles", "yds_rush": "rush_yards", "player_id": "source_player_id", "full_name": "player_name", "jersey": "number"},
+    "recovery_report": {
+        "size": "source_size_bytes", "bytes_in": "source_size_bytes", "resource": "endpoint", "api_method": "endpoint", "path": "source_file",
+        "problem_class": "category", "message": "parse_error", "rule_applied": "recovery_rule",
+    },
+}
+_FEED_TYPES = {
+    "standings": {"varchar": "home streak team_name tier", "bigint": "l pf w", "double": "pa win_pct"},
+    "player_game_stats": {"varchar": "game_id player_name team_name", "bigint": "qb_hits rush_yards snap_count tackles", "double": "number source_player_id", "boolean": "started"},
+    "recovery_report": {"varchar": "attempt_label category encoding endpoint parse_error recovered_by recovery_rule source_file", "double": "elapsed source_size_bytes", "boolean": "success"},
+}
+
+
+def _feed_sql(feed: str) -> str:
+    """One row per record, its last delivery, the fields under the names they are known by."""
+    renamed = " ".join(f"when name = '{old}' then '{new}'" for old, new in _FEED_NAMES[feed].items())
+    columns = [f"max(try_cast(value as {kind})) filter (name = '{c}') as {c}" for kind, names in _FEED_TYPES[feed].items() for c in names.split()]
+    return f"""
+with given as (select * from feed_rows where feed = '{feed}' and stream_id is not null and file_id is not null and coalesce(json_type(try_cast(payload as json)) = 'OBJECT', false)),
+whole as (select stream_id, file_id, rec_no, arg_max(row_id, (delivered_at, row_id)) as row_id, max(as_of) as as_of from given group by all),
+keys as (select row_id, payload, unnest(json_keys(payload)) as k from given where row_id in (select row_id from whole)),
+cells as (select row_id, trim(regexp_replace(regexp_replace(lower(trim(k)), '[\s-]', '_', 'g'), '_+', '_', 'g'), '_') as name, json_extract_string(payload, '$."' || k || '"') as value from keys),
+named as (select row_id, case {renamed} else name end as name, value from cells where value is not null and {_valued('value')}),
+fields as (select row_id, {", ".join(columns)} from named group by row_id)
+select whole.*, fields.* exclude (row_id) from whole left join fields using (row_id)"""
+
+
+def _valued(c: str) -> str:
+    return f"trim({c}, {_BLANKS}) not in ({_TOKENS})"
 
 
 P4_SQL = """
@@ -177,16 +233,6 @@ select l.table_name, coalesce(l.load_id, '') as load_id, l.column_name from load
 where nulls * 5 >= n or (f > 0 and outside * 10 >= f) or different < 3 or coalesce(departs, false)
 """
 
-def _p2_valid_sql() -> str:
-    """The fields of valid lines, taken apart by one pattern of twelve groups, unquoted and typed."""
-    field = broken_lines._FIELD
-    split = "^" + ",".join([f"({field})"] * 12) + "$"
-    names = ", ".join(f"'{c}'" for c in broken_lines.FIELDS)
-    raw = f"select line_id, regexp_extract(line_text, '{split}', [{names}]) as f from ({_p2_sql('line_id, line_text', '{valid}')})"
-    texts = {c: f"nullif(case when f.{c} like '\"%' then replace(substr(f.{c}, 2, length(f.{c}) - 2), '\"\"', '\"') else f.{c} end, '')" for c in broken_lines.FIELDS}
-    typed = [f"lower({t}) = 'true' as {c}" if c == "success" else f"cast({t} as bigint) as {c}" if c in ("season", "source_size_bytes", "output_size_bytes") else f"{t} as {c}" for c, t in texts.items()]
-    return f"select line_id, {', '.join(typed)} from ({raw})"
-
 
 # The statistics that both tables of players have, and those of seasons alone.
 _GAME_NUMBERS = """passing_attempts passing_completions passing_yards pass_tds passing_interceptions rushing_carries rushing_yards receiving_catches receiving_yards
@@ -261,11 +307,13 @@ from s group by table_name, column_name, load
 """
 
 SQL: dict[str, str] = {
-    "p2_valid": _p2_valid_sql(),
-    "p4_profile": P4_PROFILE_SQL,
-    "p4_change": P4_CHANGE_SQL,
     "p1_found": P1_SQL,
     "p1_report": f"select table_name, season, cast(count(*) as bigint) as n_orphans from ({P1_SQL}) group by all",
-    "p2_found": _p2_sql("line_id", "not {valid}"),
+    "p2_found": f"{_P2_LINES} select line_id from told where reason is not null",
+    "p2_reasons": f"{_P2_LINES} select line_id, reason from told where reason is not null",
+    "p2_valid": f"{_P2_LINES} select line_id, {', '.join(_typed_field(c) for c in _P2_FIELDS)} from told where reason is null",
+    **{f"p3_{feed}": _feed_sql(feed) for feed in _FEED_TYPES},
     "p4_found": P4_SQL,
+    "p4_profile": P4_PROFILE_SQL,
+    "p4_change": P4_CHANGE_SQL,
 }
