@@ -89,8 +89,9 @@ def disposition(diagnosis: Column, evidence: Column) -> Column:
 
 def _less_own(df: DataFrame, index: DataFrame, keys: list[str], own: str, what: list[str], name: str) -> DataFrame:
     """Adds the number of candidates under ``keys`` that don't share the row's own team or season."""
-    whole = _counted(index, keys, what, "_all")
+    # ``what`` holds ``own``, so the candidates under a key are those of its teams or seasons together
     mine = _counted(index, [*keys, own], what, "_own")
+    whole = mine.groupBy(*keys).agg(F.sum("_own").alias("_all"))
     out = df.join(whole, keys, "left").join(mine, [*keys, own], "left")
     return out.withColumn(name, F.coalesce("_all", F.lit(0)) - F.coalesce("_own", F.lit(0))).drop("_all", "_own")
 
