@@ -12,18 +12,16 @@ goes to the workers with the task; pages stream through them without a shuffle.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import materialise, spread
 
 STATES = ("prose", "links", "tags", "menu")
 TRAITS = ("url", "bare", "sentence", "code", "hashtags", "list", "vocabulary", "some_vocabulary", "repeats", "price", "bars", "labelled", "short", "lonely")
@@ -170,29 +168,28 @@ class LineModel:
             path.append(state)
         return path[::-1]
 
-    def fitted(self, pages: list[tuple[list[int], bool]], rounds: int = 8) -> LineModel:
-        """Expectation maximisation; the lines of pages that are no spam stay prose."""
-        model = self
+    def fitted(self, spam: list[list[int]], ham: dict[int, int], ham_pages: int, rounds: int = 8) -> LineModel:
+        """Expectation maximisation over the lines of spam pages; those of ``ham_pages`` other pages, given as counts of their traits, stay prose."""
+        model, spam = self, [codes for codes in spam if codes]
         traits = np.arange(len(TRAITS))
-        bits = {id(codes): (np.array(codes)[:, None] >> traits & 1).astype(float) for codes, spam in pages if codes and spam}
+        bits = [(np.array(codes)[:, None] >> traits & 1).astype(float) for codes in spam]
         on, mass = self.emissions * _PRIOR_LINES, np.full(4, _PRIOR_LINES)
         moves, start = np.exp(self.log_moves) * _PRIOR_LINES, np.exp(self.log_start) * 20.0
         # the lines held to be prose count alike in every round
-        ham = [codes for codes, spam in pages if codes and not spam]
-        for code, n in Counter(chain.from_iterable(ham)).items():
+        for code, n in ham.items():
             on[:, 0] += n * (code >> traits & 1)
-        mass[0] += sum(map(len, ham))
-        moves[0, 0] += sum(map(len, ham)) - len(ham)
-        start[0] += len(ham)
+        lines = sum(ham.values())
+        mass[0] += lines
+        moves[0, 0] += lines - ham_pages
+        start[0] += ham_pages
         for _ in range(rounds):
             new_on, new_mass, new_moves, new_start = on.copy(), mass.copy(), moves.copy(), start.copy()
-            for codes, spam in pages:
-                if codes and spam:
-                    gamma, pair = model._expected(codes)
-                    new_on += bits[id(codes)].T @ gamma
-                    new_mass += gamma.sum(axis=0)
-                    new_start += gamma[0]
-                    new_moves += pair
+            for codes, own in zip(spam, bits):
+                gamma, pair = model._expected(codes)
+                new_on += own.T @ gamma
+                new_mass += gamma.sum(axis=0)
+                new_start += gamma[0]
+                new_moves += pair
             model = LineModel(np.clip(new_on / new_mass, 1e-4, 1 - 1e-4), new_start / new_start.sum(), new_moves / new_moves.sum(axis=1, keepdims=True), self.vocabulary)
         return model
 
@@ -217,39 +214,54 @@ class LineModel:
         return gamma, pair
 
 
-def learned_vocabulary(pages: list[tuple[list[str], bool]]) -> frozenset[str]:
-    """The words that lines of spam pages hold far more often than other pages do."""
-    spam, ham, spam_pages, ham_pages = Counter(), Counter(), 0, 0
-    for lines, is_spam in pages:
-        # the title of a message tells how it was committed rather than what it holds
-        words = {w for line in lines[1:] if not (is_spam and _SENTENCE.search(line)) for w in line_words(line)[1] if len(w) > 1}
-        if is_spam:
-            spam_pages += 1
-            spam.update(words)
-        else:
-            ham_pages += 1
-            ham.update(words)
-    out = set()
-    for w, n in spam.items():
-        if n > 2 and n / (spam_pages + 1) > 6 * (ham[w] + 0.5) / (ham_pages + 1) and math.log(n + 1) > 1:
-            out.add(w)
-    return frozenset(out)
+def page_words(lines: list[str], is_spam: bool) -> set[str]:
+    """The words a labelled page is told by. The title of a message tells how it was committed rather than what it holds; sentences of spam pages are its prose."""
+    return {w for line in lines[1:] if not (is_spam and _SENTENCE.search(line)) for w in line_words(line)[1] if len(w) > 1}
+
+
+def learned_vocabulary(sample: DataFrame) -> frozenset[str]:
+    """The words that far more spam pages than other pages of the sample hold; counted on the workers, only those words come to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pages = [(message_and_added(t), s == 1) for t, s in zip(batch.column("text").to_pylist(), batch.column("is_spam").to_pylist())]
+            told = [(w, spam) for lines, spam in pages for w in page_words(lines, spam)]
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in told], pa.string()), pa.array([spam for _, spam in told], pa.bool_())], ["word", "spam"])
+
+    pages = sample.agg(F.count_if(F.col("is_spam") == 1).alias("spam"), F.count_if(F.col("is_spam") != 1).alias("ham")).first()
+    counted = sample.select("text", "is_spam").mapInArrow(run, "word string, spam boolean").groupBy("word").agg(F.count_if("spam").alias("n"), F.count_if(~F.col("spam")).alias("m"))
+    much = F.col("n") / F.lit(pages["spam"] + 1) > 6 * (F.col("m") + 0.5) / F.lit(pages["ham"] + 1)
+    return frozenset(r["word"] for r in counted.where((F.col("n") > 2) & much).select("word").toLocalIterator())
 
 
 def fit_line_model(documents: DataFrame, labels: DataFrame, most_pages: int = 4_000, most_chars: int = 20_000) -> LineModel:
-    """A model fitted to at most ``most_pages`` labelled pages of at most ``most_chars`` characters.
+    """A model fitted to at most ``most_pages`` labelled pages of at most ``most_chars`` characters, those of the smallest hashes.
 
-    Only this bounded sample, the labelled pages of the smallest hashes, comes
-    to the driver. Without labels the stated priors are the model.
+    The pages stay on the workers; what comes to the driver of this bounded
+    sample are learned words, the traits of the lines of spam pages, and how
+    often each combination of traits is seen on the others. Without labels the
+    stated priors are the model.
     """
     known = labels.where("doc_id is not null and is_spam is not null").groupBy("doc_id").agg(F.max("is_spam").alias("is_spam"))
-    sample = (
+    sample = materialise(
         documents.select("doc_id", "text").where(F.length("text") <= most_chars).join(known, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_pages).select("text", "is_spam")
+        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_pages).select("doc_id", "text", "is_spam")
     )
-    pages = [(message_and_added(r["text"]), r["is_spam"] == 1) for r in sample.toLocalIterator()]
-    vocabulary = learned_vocabulary(pages)
-    return LineModel.prior(vocabulary).fitted([([c for c, line in zip(page_traits(lines, vocabulary), lines) if line.strip()], spam) for lines, spam in pages])
+    vocabulary = learned_vocabulary(sample)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = []
+            for text in batch.column("text").to_pylist():
+                lines = message_and_added(text)
+                codes.append([c for c, line in zip(page_traits(lines, vocabulary), lines) if line.strip()])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("is_spam"), pa.array(codes, pa.list_(pa.int32()))], ["doc_id", "is_spam", "codes"])
+
+    traits = materialise(sample.selectExpr("doc_id", "cast(is_spam as int) is_spam", "text").mapInArrow(run, "doc_id long, is_spam int, codes array<int>").where("size(codes) > 0"))
+    spam = [r["codes"] for r in traits.where("is_spam = 1").orderBy("doc_id").select("codes").toLocalIterator()]
+    others = traits.where("is_spam <> 1")
+    ham = {r["code"]: r["n"] for r in others.select(F.explode("codes").alias("code")).groupBy("code").agg(F.count("*").alias("n")).toLocalIterator()}
+    return LineModel.prior(vocabulary).fitted(spam, ham, others.count())
 
 
 def page_shares(text: str | None, model: LineModel) -> tuple[int, list[int]]:
