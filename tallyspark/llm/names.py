@@ -107,7 +107,9 @@ def cached(most: int) -> Callable[[Callable], Callable]:
 
         @wraps(f)
         def run(text: str, *more: object) -> object:
-            return kept(text, *more) if len(text) + sum(len(m) for m in more if isinstance(m, (str, tuple))) <= LONG else f(text, *more)
+            if len(text) > LONG or more and isinstance(more[0], str) and len(more[0]) > LONG:
+                return f(text, *more)
+            return kept(text, *more)
 
         return run
 
@@ -117,6 +119,10 @@ def cached(most: int) -> Callable[[Callable], Callable]:
 @cached(200_000)
 def tokens(name: str) -> tuple[str, ...]:
     """The words of a name without bracketed nicknames; digits typed for letters put right, a glued name split at its capitals."""
+    plain = name.split()
+    if len(plain) > 1 and name.isascii() and all(map(str.isalpha, plain)):
+        # plain words need none of what follows
+        return tuple([w for w in name.lower().split() if w not in SUFFIXES])
     text = re.sub(r"\([^)]*\)|[\"“][^\"”]*[\"”]", " ", name).strip() or name.strip()
     if "Ã" not in text and not re.search(r"[\s,.]", text):
         text = re.sub(r"(?<=[a-zß-ÿ])(?=[A-ZÀ-Þ])", " ", text)
