@@ -200,7 +200,7 @@ def _feed_sql(feed: str) -> str:
 with given as (select * from feed_rows where feed = '{feed}' and stream_id is not null and file_id is not null and coalesce(json_type(try_cast(payload as json)) = 'OBJECT', false)),
 whole as (select stream_id, file_id, rec_no, arg_max(row_id, (delivered_at, row_id)) as row_id, max(as_of) as as_of from given group by all),
 keys as (select row_id, payload, unnest(json_keys(payload)) as k from given where row_id in (select row_id from whole)),
-cells as (select row_id, trim(regexp_replace(regexp_replace(lower(trim(k)), '[\s-]', '_', 'g'), '_+', '_', 'g'), '_') as name, json_extract_string(payload, '$."' || k || '"') as value from keys),
+cells as (select row_id, trim(regexp_replace(regexp_replace(lower(trim(k)), '[\\s-]', '_', 'g'), '_+', '_', 'g'), '_') as name, json_extract_string(payload, '$."' || k || '"') as value from keys),
 named as (select row_id, case {renamed} else name end as name, value from cells where value is not null and {_valued('value')}),
 fields as (select row_id, {", ".join(columns)} from named group by row_id)
 select whole.*, fields.* exclude (row_id) from whole left join fields using (row_id)"""
