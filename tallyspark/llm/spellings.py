@@ -4,11 +4,12 @@ Method: a symmetric-delete neighbourhood index on name tokens. Every token is
 filed under its first letters and all forms of them with one letter deleted, so
 two tokens at a small edit distance meet. Persons are sent to workers by what
 they must share, a home town or a school, and the index is built there, over the
-persons of one town or school; towns and schools with too many persons are
-narrowed by form, initial and height, so that no bucket is hot. Candidates are
-then aligned token by token with an optimal assignment that permits initials,
-short forms and spare middle names, and weighed with the attributes. Persons
-with several ids are the classes of the links.
+persons of one town or school; towns and schools with too many persons are cut
+by form and then into shares that all meet, so that no bucket is hot and the
+size of one decides nothing. Candidates are then aligned token by token with an
+optimal assignment that permits initials, short forms and spare middle names,
+and weighed with the attributes. Persons with several ids are the classes of
+the links.
 """
 
 from __future__ import annotations
@@ -26,11 +27,10 @@ from pyspark.sql import functions as F
 from ..functions.text import NULL_TOKENS, id_key, valued
 from ..session import join_counted, materialise, shuffle_partitions
 from .components import linked_classes
-from .names import INITIALS, allowed_edits, cached, edits, fold, name_likeness, tokens
+from .names import allowed_edits, cached, edits, fold, name_likeness, tokens
 
 # Short forms of school kinds.
 SCHOOL_WORDS = {"univ": "university", "uni": "university", "coll": "college", "hs": "high school", "sch": "school", "st": "state"}
-BANDS = range(21, 46)
 _HUMAN_INCHES = (42, 90)
 PREFIX = 4
 
@@ -102,29 +102,9 @@ def deletes(token: str) -> frozenset[str]:
     return frozenset([head, *(head[:i] + head[i + 1 :] for i in range(len(head)))]) if allowed_edits(len(token)) else frozenset([token])
 
 
-def word_forms(name: str) -> dict[str, set[int]]:
-    """Each form of a name's words with the words it comes from; initials have none."""
-    out: dict[str, set[int]] = {}
-    for at, word in enumerate(tokens(name)):
-        for form in deletes(word) if len(word) > 1 else ():
-            out.setdefault(form, set()).add(at)
-    return out
-
-
-def other_initials(name: str, words: set[int]) -> set[str]:
-    """Letters that the words beside one of ``words`` may begin with: as typed, with a typing error there, as a short form.
-
-    A name of one word may be one run together, so any of its letters may begin the other word.
-    """
-    all_words = tokens(name)
-    if len(all_words) == 1:
-        return set(all_words[0])
-    return {c for at in words for n, w in enumerate(all_words) if n != at for c in {*w[:2], *INITIALS.get(w, ())}}
-
-
-def bands(height: int | None) -> set[int]:
-    """Bands of two inches that overlap, so that heights an inch apart share one; without a height all of them."""
-    return {height // 2, (height + 1) // 2} if height is not None else set(BANDS)
+def word_forms(name: str) -> set[str]:
+    """All forms of a name's words; initials have none."""
+    return {form for word in tokens(name) if len(word) > 1 for form in deletes(word)}
 
 
 def clean_persons(players: DataFrame) -> DataFrame:
@@ -234,22 +214,12 @@ def _hash(*parts: object) -> int:
     return xxhash.xxh3_64_intdigest("|".join(map(str, parts))) - (1 << 63)
 
 
-def by_form(name: str, height: int | None, block: int, key: int) -> list[int]:
-    return [_hash(block, form) for form in word_forms(name)]
-
-
-def by_form_initial_and_band(name: str, height: int | None, block: int, key: int) -> list[int]:
-    """Keys within the key of one of the name's forms: what another word may begin with, and a band of heights."""
-    letters = {c for form, words in word_forms(name).items() if _hash(block, form) == key for c in other_initials(name, words)}
-    return [_hash(key, c, band) for c in letters for band in bands(height)]
-
-
-def _filed_again(rows: DataFrame, keys: Callable[[str, int | None, int, int], list[int]]) -> DataFrame:
-    """``rows`` once for each of the narrower keys that ``keys`` gives for (name, height, block, key)."""
+def _filed_by_form(rows: DataFrame) -> DataFrame:
+    """``rows`` once for each form of a word of the name, under keys of their block and that form."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            given = [keys(*r) for r in zip(*(batch.column(c).to_pylist() for c in ("name", "height", "block", "key")))]
+            given = [[_hash(block, form) for form in word_forms(name)] for name, block in zip(batch.column("name").to_pylist(), batch.column("block").to_pylist())]
             taken = batch.take(pa.array([n for n, own in enumerate(given) for _ in own], pa.int64()))
             yield taken.set_column(taken.schema.get_field_index("key"), "key", pa.array([k for own in given for k in own], pa.int64()))
 
@@ -274,38 +244,38 @@ def _tiled(rows: DataFrame, most: int) -> DataFrame:
 
 
 def filed_persons(persons: DataFrame, most: int) -> DataFrame:
-    """Persons once per given attribute; where more than ``most`` share a key, they are filed under narrower ones.
+    """Persons once per given attribute; where more than ``most`` share a key, they are filed so that fewer meet at once.
 
-    Whole towns and schools first; those with too many persons by the delete
-    forms of a word; forms with too many by the initial of another word and a
-    band of heights; what is still too much is compared share by share.
+    Whole towns and schools first, where those that share a delete form of a
+    word are compared; those with too many persons by these forms; forms with
+    too many share by share. All three compare the same pairs, so how many
+    persons share a key decides nothing.
     """
     attributes = F.array(*[F.when(F.col(c).isNotNull(), F.xxhash64(F.lit(c), c)) for c in ("town", "school")])
     rows = persons.withColumn("block", F.explode(F.filter(attributes, lambda x: x.isNotNull()))).withColumns({"key": F.col("block"), "form_filed": F.lit(False), "side": F.lit(None).cast("int")}).select(_COLUMNS)
     filed, hot = _parted(rows, most)
-    for narrower in (by_form, by_form_initial_and_band):
-        if hot is None:
-            return filed
-        cold, hot = _parted(materialise(_filed_again(hot, narrower)), most)
-        filed = filed.unionByName(cold)
+    if hot is None:
+        return filed
+    cold, hot = _parted(materialise(_filed_by_form(hot)), most)
+    filed = filed.unionByName(cold)
     return filed if hot is None else filed.unionByName(_tiled(hot, most))
 
 
-def _near(at: list[int], height: np.ndarray, weight: np.ndarray, side: list[int | None]) -> Iterator[tuple[int, int]]:
-    """The pairs of positions whose heights and weights, where both are given, are near, and that a tile compares."""
+def _near(at: list[int], height: np.ndarray, weight: np.ndarray, school: np.ndarray, side: list[int | None]) -> Iterator[tuple[int, int]]:
+    """The pairs of positions whose heights and weights, where both are given, are near, whose schools are the same, and that a tile compares."""
     if len(at) > 24:
         own = np.array(at)
         for n, i in enumerate(at[:-1]):
             rest = own[n + 1 :]
             # a missing number is NaN, and no comparison with it holds
-            far = (np.abs(height[rest] - height[i]) > 1) | (np.abs(weight[rest] - weight[i]) > 16)
+            far = (np.abs(height[rest] - height[i]) > 1) | (np.abs(weight[rest] - weight[i]) > 16) | (np.abs(school[rest] - school[i]) > 0)
             for j in rest[~far].tolist():
                 if side[i] is None or side[i] != side[j]:
                     yield i, j
     else:
         for n, i in enumerate(at[:-1]):
             for j in at[n + 1 :]:
-                if not (abs(height[i] - height[j]) > 1 or abs(weight[i] - weight[j]) > 16) and (side[i] is None or side[i] != side[j]):
+                if not (abs(height[i] - height[j]) > 1 or abs(weight[i] - weight[j]) > 16 or abs(school[i] - school[j]) > 0) and (side[i] is None or side[i] != side[j]):
                     yield i, j
 
 
@@ -313,6 +283,8 @@ def compare_filed(table: pa.Table) -> pa.Table:
     """(a, b), a < b: the persons of one person among those filed under the same keys that share a delete form of a word."""
     side, form_filed, names = (table[c].to_pylist() for c in ("side", "form_filed", "name"))
     height, weight = (table[c].cast(pa.float64()).to_numpy() for c in ("height", "weight"))
+    # schools as numbers, NaN where none is given
+    school = table["school"].combine_chunks().dictionary_encode().indices.cast(pa.float64()).to_numpy(zero_copy_only=False)
     filed: dict[int, list[int]] = {}
     for n, key in enumerate(table["key"].to_pylist()):
         filed.setdefault(key, []).append(n)
@@ -321,18 +293,18 @@ def compare_filed(table: pa.Table) -> pa.Table:
         if len(rows) < 2:
             continue
         if form_filed[rows[0]]:
-            pairs.update(_near(rows, height, weight, side))
+            pairs.update(_near(rows, height, weight, school, side))
             continue
         index: dict[str, list[int]] = {}
         for n in rows:
-            for form in {f for word in tokens(names[n]) if len(word) > 1 for f in deletes(word)}:
+            for form in word_forms(names[n]):
                 if form in index:
                     index[form].append(n)
                 else:
                     index[form] = [n]
         for at in index.values():
             if len(at) > 1:
-                pairs.update(_near(at, height, weight, side))
+                pairs.update(_near(at, height, weight, school, side))
     used = sorted({n for pair in pairs for n in pair})
     record = dict(zip(used, table.select(_RECORD).take(pa.array(used, pa.int64())).to_pylist()))
     links = sorted({tuple(sorted((record[i]["person"], record[j]["person"]))) for i, j in pairs if same_person(record[i], record[j])})
@@ -358,8 +330,7 @@ def link_spellings(players: DataFrame, most: int = 2_000) -> DataFrame:
     many ids are represented by the smallest of them, so no group is expanded
     into pairs; they join it if the record says enough to be linked to one like
     itself, or is linked to another. ``most`` bounds the rows that are compared
-    under one key before the key is narrowed; it changes no result but for
-    words whose two first letters are both mistyped.
+    under one key before they are filed anew; it changes no result.
     """
     persons = materialise(clean_persons(players))
     shown = ["name", "town", "school", "height", "weight"]
