@@ -252,3 +252,14 @@ def test_votes_decide_where_rank_does_not(spark):
     voted = {r["field_name"]: r["value"] for r in survivors.game_line_survivors(stats, trust, by_rank=False).collect()}
     assert ranked["player_name"] == ranked["roster_number"] == ranked["rushing_yards"] == 1
     assert (voted["player_name"], voted["roster_number"], voted["rushing_yards"]) == ("Ann Ash", "17", "4.0")
+
+
+def test_rank_takes_no_vote(spark, monkeypatch):
+    """By rank nothing is aligned or voted on and nothing is written in between; by votes it is."""
+    rows = [line(1, "good", 9, "A. Ash"), line(2, "bad", 1, "Ann Ash"), line(3, "bad", 2, "Ann Ash")]
+    stats, trust = spark.createDataFrame(rows, STATS), spark.createDataFrame([("good", 1), ("bad", 2)], "feed string, trust_rank int")
+    written = []
+    monkeypatch.setattr(survivors, "materialise", lambda df: written.append(df) or df)
+    plans = {by_rank: survivors.game_line_survivors(stats, trust, by_rank)._jdf.queryExecution().optimizedPlan().toString() for by_rank in (False, True)}
+    assert "ArrowEvalPython" in plans[False] and len(written) == 1
+    assert "Python" not in plans[True]
